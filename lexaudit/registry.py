@@ -20,3 +20,14 @@ def query(name: str, sql: str | None = None):
         return f
 
     return add
+
+
+def load_all() -> None:
+    """Imports every module that registers queries."""
+    import importlib
+
+    for name in MODULES:
+        importlib.import_module(name)
+
+
+MODULES = ["lexaudit.plans.general"]

@@ -72,3 +72,12 @@ def source_key(col) -> F.Column:
     """Two sources that differ in case and surrounding white space only are the same; blank is NULL."""
     c = F.col(col) if isinstance(col, str) else col
     return F.nullif(F.lower(F.regexp_replace(c, r"^\s+|\s+$", "")), F.lit(""))
+
+
+def barrier(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows, with the named columns from a one-element generator.
+
+    The optimizer neither merges projections nor moves filters through it, so that long expressions are not repeated in
+    what follows, where they would outgrow the limit of generated code.
+    """
+    return df.select(*[F.col(c) for c in df.columns if c not in names], F.inline(F.array(F.struct(*names))))
