@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexaudit.llm import cutoffs
+from lexaudit.llm import cutoffs, history
 from lexaudit.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,8 @@ def p1_found(spark, sf_dir):
 @query("p1_cutoffs", CUTOFF_SQL + "SELECT s AS source_key, CAST(pct AS INTEGER) AS keep_pct, cutoff, CAST(al AS BIGINT) AS n_records, CAST(kept AS BIGINT) AS n_kept FROM k")
 def p1_cutoffs(spark, sf_dir):
     return cutoffs.score_cutoffs(cutoffs.scored_records(table(spark, sf_dir, "scored_articles")), table(spark, sf_dir, "sources"))
+
+
+@query("p2_found")
+def p2_found(spark, sf_dir):
+    return history.repeated_addresses(table(spark, sf_dir, "articles"), table(spark, sf_dir, "visited_urls"))
