@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexaudit.llm import cutoffs, history
+from lexaudit.llm import cutoffs, history, leaks, packing, splitting
 from lexaudit.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,35 @@ def p1_cutoffs(spark, sf_dir):
 @query("p2_found")
 def p2_found(spark, sf_dir):
     return history.repeated_addresses(table(spark, sf_dir, "articles"), table(spark, sf_dir, "visited_urls"))
+
+
+@query("p8_containers")
+def p8_containers(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("p8_fill")
+def p8_fill(spark, sf_dir):
+    return packing.fill(packing.pack_documents(table(spark, sf_dir, "documents")), 4096)
+
+
+@query("p9_found")
+def p9_found(spark, sf_dir):
+    return leaks.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+@query("p9_alignments")
+def p9_alignments(spark, sf_dir):
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).where("score >= 16")
+
+
+@query("p10_found")
+def p10_found(spark, sf_dir):
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return splitting.oversized(texts, 1500).select(F.col("id").alias("doc_id"))
+
+
+@query("p10_pieces")
+def p10_pieces(spark, sf_dir):
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return splitting.split_texts(texts, 1500, 100).withColumnRenamed("id", "doc_id")
