@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter, defaultdict
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,8 @@ class ItemIndex:
         import ahocorasick
 
         self.words = {i: _WORD.findall(visible(t)) for i, t in items}
+        self.numbers = {i: {x: n for n, x in enumerate(dict.fromkeys(w))} for i, w in self.words.items()}
+        self.coded = {i: [self.numbers[i][x] for x in w] for i, w in self.words.items()}
         at: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, w in self.words.items():
             for k in range(len(w) - SEED + 1):
@@ -103,56 +106,75 @@ def longest_run(item: list[str], hits: list[tuple[int, int, int]], starts: set[i
     return best
 
 
-def align(a: list[int], b: list[int]) -> int:
-    """The Smith-Waterman score of two sequences of word numbers, row by row with a linear gap cost."""
-    if not a or not b:
-        return 0
-    y = np.asarray(b)
-    steps = np.arange(len(y) + 1) * -GAP
-    row, best = np.zeros(len(y) + 1, dtype=np.int64), 0
-    for x in a:
+def align(pairs: list[tuple[list[int], list[int]]]) -> list[int]:
+    """The Smith-Waterman score of each pair of sequences of word numbers (not negative), with a linear gap cost.
+
+    All pairs are filled row by row together; shorter ones are padded with numbers that match nothing.
+    """
+    if not pairs:
+        return []
+    rows, cols = max(len(a) for a, _ in pairs), max(len(b) for _, b in pairs)
+    x = np.full((rows, len(pairs), 1), -2, dtype=np.int32)
+    y = np.full((len(pairs), cols), -1, dtype=np.int32)
+    for k, (a, b) in enumerate(pairs):
+        x[: len(a), k, 0] = a
+        y[k, : len(b)] = b
+    steps = (np.arange(cols + 1) * -GAP).astype(np.int32)
+    row = np.zeros((len(pairs), cols + 1), dtype=np.int32)
+    best = np.zeros(len(pairs), dtype=np.int32)
+    for w in x:
         new = np.zeros_like(row)
-        new[1:] = np.maximum(row[:-1] + np.where(y == x, MATCH, MISMATCH), row[1:] + GAP)
+        np.maximum(row[:, :-1] + np.where(y == w, MATCH, MISMATCH).astype(np.int32), row[:, 1:] + GAP, out=new[:, 1:])
         np.maximum(new, 0, out=new)
-        new = np.maximum.accumulate(new + steps) - steps  # gaps along the row
-        best = max(best, int(new.max()))
+        new += steps  # gaps along the row
+        np.maximum.accumulate(new, axis=1, out=new)
+        new -= steps
+        np.maximum(best, new.max(axis=1), out=best)
         row = new
-    return best
-
-
-def _leaks_of(text: str, index: ItemIndex) -> list[tuple[int, int, int, int]]:
-    hits = index.hits(text)
-    if not hits:
-        return []
-    starts, ends, words, p = set(), set(), [], 0
-    place = []
-    for w in _WORD.findall(visible(text)):
-        starts.add(p)
-        place.append(p)
-        words.append(w)
-        p += len(w)
-        ends.add(p)
-    place_of = np.asarray(place)
-    out = []
-    for i, h in hits.items():
-        item = index.words[i]
-        numbers = {w: n for n, w in enumerate(dict.fromkeys(item))}
-        score = 0
-        # seeds further apart than an item is long belong to different passages
-        h.sort(key=lambda x: x[1])
-        groups: list[list[tuple[int, int, int]]] = []
-        for x in h:
-            if groups and x[1] - groups[-1][-1][1] < 12 * len(item):
-                groups[-1].append(x)
-            else:
-                groups.append([x])
-        coded = [numbers[w] for w in item]
-        for g in groups:
-            lo = max(0, int(np.searchsorted(place_of, g[0][1], "right")) - 1 - len(item))
-            hi = int(np.searchsorted(place_of, g[-1][2])) + len(item)
-            score = max(score, align(coded, [numbers.get(w, -1) for w in words[lo:hi]]))
-        out.append((i, len({k for k, _, _ in h}), score, longest_run(item, h, starts, ends)))
-    return out
+    return best.tolist()
+
+
+#: Pairs aligned together.
+TOGETHER = 128
+
+
+def _leaks_of(docs: list[tuple[int, str]], index: ItemIndex) -> list[tuple[int, int, int, int, int]]:
+    """(document, item, seeds, score, run) of a batch of documents."""
+    pairs, owners, out = [], [], []
+    for doc, text in docs:
+        hits = index.hits(text)
+        if not hits:
+            continue
+        starts, ends, words, place, p = set(), set(), [], [], 0
+        for w in _WORD.findall(visible(text)):
+            starts.add(p)
+            place.append(p)
+            words.append(w)
+            p += len(w)
+            ends.add(p)
+        for i, h in hits.items():
+            item = index.words[i]
+            numbers = index.numbers[i]
+            h.sort(key=lambda x: x[1])
+            # seeds further apart than an item is long belong to different passages
+            groups: list[list[tuple[int, int, int]]] = []
+            for x in h:
+                if groups and x[1] - groups[-1][-1][1] < 12 * len(item) and x[1] - groups[-1][0][1] < 36 * len(item):
+                    groups[-1].append(x)
+                else:
+                    groups.append([x])
+            for g in groups:
+                lo = max(0, bisect_right(place, g[0][1]) - 1 - len(item))
+                hi = bisect_left(place, g[-1][2]) + len(item)
+                pairs.append((index.coded[i], [numbers.get(w, -1) for w in words[lo:hi]]))
+                owners.append(len(out))
+            out.append([doc, i, len({k for k, _, _ in h}), 0, longest_run(item, h, starts, ends)])
+    order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))  # alike in length, so that little is padded
+    for s in range(0, len(order), TOGETHER):
+        some = order[s : s + TOGETHER]
+        for k, score in zip(some, align([pairs[k] for k in some])):
+            out[owners[k]][3] = max(out[owners[k]][3], score)
+    return [tuple(x) for x in out]
 
 
 def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -180,7 +202,7 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
         def find(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             index = ItemIndex(sent.value)
             for b in batches:
-                found = [(d, *x) for d, t in zip(b["doc_id"], b["text"]) for x in _leaks_of(t, index)]
+                found = _leaks_of(list(zip(b["doc_id"], b["text"])), index)
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "n_seeds", "score", "run"])
 
         part = texts.mapInPandas(find, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexaudit.llm import cutoffs, history, leaks, packing, splitting
+from lexaudit.llm import cutoffs, history, leaks, nearcopies, packing, repeats, splitting
 from lexaudit.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,39 @@ def p10_found(spark, sf_dir):
 def p10_pieces(spark, sf_dir):
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     return splitting.split_texts(texts, 1500, 100).withColumnRenamed("id", "doc_id")
+
+
+LINES_SQL = r"""
+WITH a AS (SELECT article_id, lower(trim(source)) AS s, string_split(content, chr(10)) AS ls FROM articles WHERE trim(source) <> ''),
+     l AS (SELECT article_id, s, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM a),
+     k AS (SELECT article_id, s, line_no, regexp_replace(lower(line), '[^\p{L}]+', '', 'g') AS key FROM l),
+     t AS (SELECT s, count(*) AS total FROM a GROUP BY s),
+     f AS (SELECT k.s, key FROM k JOIN t ON k.s = t.s WHERE key <> '' GROUP BY k.s, key
+           HAVING count(DISTINCT article_id) >= 4 AND count(DISTINCT article_id) * 100 >= 3 * max(total))
+"""
+
+
+@query("p5_found", LINES_SQL + "SELECT article_id, CAST(line_no AS INTEGER) AS line_no FROM k JOIN f ON k.s = f.s AND k.key = f.key")
+def p5_found(spark, sf_dir):
+    return repeats.repeated_lines(table(spark, sf_dir, "articles"))
+
+
+@query("p5_blocks")
+def p5_blocks(spark, sf_dir):
+    return repeats.block_report(table(spark, sf_dir, "articles"))
+
+
+@query("p5_clean")
+def p5_clean(spark, sf_dir):
+    articles = table(spark, sf_dir, "articles")
+    return repeats.without_lines(articles, repeats.repeated_lines(articles)).select("article_id", F.md5("content").alias("content_md5"))
+
+
+@query("p7_found")
+def p7_found(spark, sf_dir):
+    return nearcopies.similar_pairs(table(spark, sf_dir, "articles"))
+
+
+@query("p7_groups")
+def p7_groups(spark, sf_dir):
+    return nearcopies.similar_groups(table(spark, sf_dir, "articles"))

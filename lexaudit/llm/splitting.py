@@ -63,44 +63,107 @@ def boundaries(text: str, core_from: int, core_to: int, offset: int) -> list[tup
     return sorted(found)
 
 
+_SPACELESS = re.compile(rf"\S{{{RUN}}}")
+
+
+def _first(text: str, core_from: int, core_to: int, offset: int) -> int | None:
+    """The first boundary in [core_from, core_to), sought step by step."""
+    for a in range(core_from, core_to, HALO):
+        if found := boundaries(text, a, min(core_to, a + HALO), offset):
+            return found[0][0]
+    return None
+
+
+def _span(start: int, lead: int, size: int, text: str) -> tuple[int, int] | None:
+    """Where the part of a slice that its range counts begins and ends: from its first boundary to the next range's."""
+    offset = start - lead
+    first = lead if start == 0 else _first(text, lead, lead + size, offset)
+    if first is None:
+        return None
+    stop = _first(text, lead + size, len(text), offset)
+    return first, len(text) if stop is None else stop
+
+
+def _kind(text: str, p: int, spaces: str) -> int:
+    lines = spaces.count("\n")
+    if lines:
+        return PARAGRAPH if lines > 1 else LINE
+    b = p - 1
+    while b > 0 and p - b < 4 and text[b] in _CLOSERS:
+        b -= 1
+    return SENTENCE if text[b] in _ENDS else SPACE
+
+
 def _scan(key, number: int, start: int, lead: int, size: int, text: str, count) -> tuple[list[tuple], int]:
     """Boundaries of one range with the range's tokens before each, and the range's total.
 
-    The range's first boundary starts it: what precedes belongs to the range before. Of boundaries of the lesser kinds
-    only the last of each BUCKET tokens is kept, which is enough to choose from.
+    What precedes the range's first boundary belongs to the range before. Of boundaries of the lesser kinds only the
+    last of each BUCKET tokens is kept, which is enough to choose from.
     """
-    offset = start - lead
-    cuts = boundaries(text, lead, lead + size, offset)
-    if start == 0:
-        cuts = [(lead, HARD), *[c for c in cuts if c[0] > lead]]
-    if not cuts:
+    span = _span(start, lead, size, text)
+    if not span:
         return [], 0
-    end = boundaries(text, lead + size, len(text), offset)
-    stop = end[0][0] if end else len(text)
+    offset = start - lead
+    first, stop = span
+    cuts = [c for c in boundaries(text, first, min(stop, lead + size), offset) if c[0] > first]
+    head = boundaries(text, first, first + 1, offset)
+    cuts = [head[0] if head and start else (first, HARD), *cuts]
     rows, total, last = [], 0, None
     for (p, kind), q in zip(cuts, [*[c[0] for c in cuts[1:]], stop]):
         row = (key, number, p + offset, total, kind)
-        if kind >= SENTENCE:
-            rows.append(row)
-        else:
-            if last and last[3] // BUCKET == total // BUCKET and rows and rows[-1] is last:
+        if kind < SENTENCE:
+            if last and rows[-1] is last and last[3] // BUCKET == total // BUCKET:
                 rows.pop()
-            rows.append(row)
             last = row
+        rows.append(row)
         total += count(text[p:q])
     return rows, total
 
 
+def _scan_words(key, number: int, start: int, lead: int, size: int, text: str, counts) -> tuple[list[tuple], int]:
+    """What _scan returns, in one pass over the tokenizer's words, for slices without long runs lacking white space."""
+    span = _span(start, lead, size, text)
+    if not span:
+        return [], 0
+    offset = start - lead
+    first, stop = span
+    rows, total, p, last, inside = [], 0, first, None, False
+    for w, n in counts(text[first:stop]):
+        if p == first or not inside and w[0].isspace():
+            if p == first and not (start and w[0].isspace()):
+                kind = HARD
+            elif w[0] == " " and len(w) > 1 and w[1] != " ":
+                kind = SENTENCE if text[p - 1] in _ENDS else _kind(text, p, " ")
+            else:  # a run of white space may be several words
+                q = p
+                while q < len(text) and q - p < HALO and text[q].isspace():
+                    q += 1
+                kind = _kind(text, p, text[p:q])
+            row = (key, number, p + offset, total, kind)
+            if kind < SENTENCE:
+                if last and rows[-1] is last and last[3] // BUCKET == total // BUCKET:
+                    rows.pop()
+                last = row
+            rows.append(row)
+        total += n
+        p += len(w)
+        inside = w[-1].isspace()
+    return rows, total
+
+
 def scan_ranges(ranges: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:
     """Boundaries of ranges(id, number, start, lead, size, slice): id, number, at, before, kind; the range's total as at -1."""
     ident = ranges.schema["id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = counter(ranks).count
+        c = counter(ranks)
         for b in batches:
             out: list[tuple] = []
             for r in b.itertuples(index=False):
-                rows, total = _scan(r.id, r.number, r.start, r.lead, r.size, r.slice, count)
+                if _SPACELESS.search(r.slice):
+                    rows, total = _scan(r.id, r.number, r.start, r.lead, r.size, r.slice, c.count)
+                else:
+                    rows, total = _scan_words(r.id, r.number, r.start, r.lead, r.size, r.slice, c.counts)
                 out += rows
                 out.append((r.id, r.number, -1, total, -1))
             yield pd.DataFrame(out, columns=["id", "number", "at", "before", "kind"])
@@ -122,8 +185,16 @@ def oversized(texts: DataFrame, limit: int, ranks: str = DEFAULT_RANKS) -> DataF
     """id, n_tokens of texts(id, text) larger than limit tokens. Equal ids count as parts of one text."""
     # a token is a byte at least, so a text of no more bytes can't exceed the limit
     may = texts.where((F.octet_length("text") > limit) & F.col("id").isNotNull())
-    scanned = scan_ranges(text_ranges(may), ranks).where("at = -1")
-    return scanned.groupBy("id").agg(F.sum("before").alias("n_tokens")).where(F.col("n_tokens") > limit)
+    ident = texts.schema["id"].dataType.simpleString()
+
+    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = counter(ranks).count
+        for b in batches:
+            spans = [_span(r.start, r.lead, r.size, r.slice) for r in b.itertuples(index=False)]
+            yield pd.DataFrame({"id": b["id"], "n": [count(x[s[0] : s[1]]) if s else 0 for x, s in zip(b["slice"], spans)]})
+
+    counted = text_ranges(may).mapInPandas(totals, f"id {ident}, n bigint")
+    return counted.groupBy("id").agg(F.sum("n").alias("n_tokens")).where(F.col("n_tokens") > limit)
 
 
 def choose_cuts(scanned: DataFrame, limit: int, overlap: int) -> DataFrame:

@@ -40,13 +40,16 @@ class Counter:
             total += n
         return total
 
+    def counts(self, text: str):
+        """The words of a text by the splitting rule, each with its tokens."""
+        memo = self._memo
+        for w in self._split(text):
+            n = memo.get(w)
+            yield w, self.count(w) if n is None else n
+
     def encode(self, text: str) -> list[int]:
         return self._encoding.encode_ordinary(text)
 
-    def decode_lengths(self, text: str) -> list[int]:
-        """Bytes of each token of a text."""
-        return [len(self._encoding.decode_single_token_bytes(t)) for t in self.encode(text)]
-
 
 @lru_cache(maxsize=4)
 def counter(path: str = DEFAULT_RANKS) -> Counter:
