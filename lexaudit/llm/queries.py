@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexaudit.llm import cutoffs, history, leaks, nearcopies, packing, repeats, splitting
+from lexaudit.llm import boilerplate, cutoffs, history, leaks, nearcopies, packing, repeats, residue, splitting
 from lexaudit.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,15 @@ def p7_found(spark, sf_dir):
 @query("p7_groups")
 def p7_groups(spark, sf_dir):
     return nearcopies.similar_groups(table(spark, sf_dir, "articles"))
+
+
+@query("p3_found")
+def p3_found(spark, sf_dir):
+    articles = table(spark, sf_dir, "articles")
+    left_out = residue.residue_articles(articles)
+    return boilerplate.split_pages(articles).where("NOT in_story").select("article_id", "line_no").join(left_out, "article_id", "left_anti")
+
+
+@query("p4_found")
+def p4_found(spark, sf_dir):
+    return residue.residue_articles(table(spark, sf_dir, "articles"))

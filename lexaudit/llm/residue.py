@@ -118,7 +118,7 @@ SEED_WEIGHT, EVEN, KNOWN_EVEN = 60_000, 0.35, 0.01
 CLAIM = 0.6
 
 
-_SPACES, _DIGITS = re.compile(r"[^\S\n]+"), re.compile(r"\d+")
+_SPACES, _DIGITS = re.compile(r"[^\S\n]{2,}|[^\S\n ]"), re.compile(r"\d+")
 #: Tags of a text, which are no residue however strange their words; those with a mark at both ends are slots.
 _HASHTAG = re.compile(r"#\w+(?![\w#.])")
 
@@ -160,18 +160,20 @@ class Lines:
 
 def _hashes(text: str) -> np.ndarray:
     """The bucket of every run of N characters."""
-    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     n = len(c) - N + 1
     if n < 1:
         return np.empty(0, dtype=np.int64)
     with np.errstate(over="ignore"):
         h = c[:n].copy()
         for k in range(1, N):
-            h *= np.uint64(0x9E3779B97F4A7C15)
+            h *= np.uint32(0x9E3779B1)
             h += c[k : k + n]
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-    h >>= np.uint64(48)
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+        h *= np.uint32(0xC2B2AE35)
+    h >>= np.uint32(16)
     return h.astype(np.int64)
 
 
@@ -210,55 +212,33 @@ class Model:
         self.ratios, self.furniture = ratios, furniture
 
 
-def count_ngrams(texts: DataFrame, model: Model | None) -> DataFrame:
-    """bucket, line, prose, residue: counts of n-grams over all texts(text); a line is residue if the given model claims it.
-
-    Without a model there are also the texts that hold each short line (bucket -1) and the texts (bucket -2). Tasks add
-    up their own counts before anything is shuffled.
-    """
-    sent = texts.sparkSession.sparkContext.broadcast(model)
+def count_ngrams(texts: DataFrame) -> DataFrame:
+    """bucket, line, n: counts of n-grams over all texts(text), the texts that hold each short line (bucket -1), and the
+    texts (bucket -2). Tasks add up their own counts before anything is shuffled."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prose, residue = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
-        total = 0
+        grams, total = np.zeros(BUCKETS, dtype=np.int64), 0
         for b in batches:
             lines = Lines(b["text"].tolist())
-            every = np.bincount(lines.grams, minlength=BUCKETS)
-            if sent.value:
-                claimed = np.repeat(claims(lines, sent.value), lines.sizes)
-                own = np.bincount(lines.grams[claimed], minlength=BUCKETS)
-                residue += own
-                every = every - own
-            else:
-                held = Counter(x for _, x in {(k, x) for k, x in zip(lines.text, lines.canonical) if len(x) <= FURNITURE_CHARS})
-                yield pd.DataFrame({"bucket": -1, "line": list(held), "prose": list(held.values()), "residue": 0})
-            prose += every
+            grams += np.bincount(lines.grams, minlength=BUCKETS)
+            held = Counter(x for _, x in {(k, x) for k, x in zip(lines.text, lines.canonical) if len(x) <= FURNITURE_CHARS})
+            yield pd.DataFrame({"bucket": -1, "line": list(held), "n": list(held.values())})
             total += len(b)
-        k = np.flatnonzero(prose + residue)
-        yield pd.DataFrame({"bucket": [*k, -2], "line": "", "prose": [*prose[k], total], "residue": [*residue[k], 0]})
+        k = np.flatnonzero(grams)
+        yield pd.DataFrame({"bucket": [*k, -2], "line": "", "n": [*grams[k], total]})
 
-    rows = texts.mapInPandas(count, "bucket bigint, line string, prose bigint, residue bigint")
-    return rows.groupBy("bucket", "line").agg(F.sum("prose").alias("prose"), F.sum("residue").alias("residue"))
+    return texts.mapInPandas(count, "bucket bigint, line string, n bigint").groupBy("bucket", "line").agg(F.sum("n").alias("n"))
 
 
-def _arrays(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _array(counted: DataFrame) -> np.ndarray:
     got = counted.where("bucket >= 0").toPandas()  # at most BUCKETS rows
-    prose, residue = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    prose[got["bucket"]], residue[got["bucket"]] = got["prose"], got["residue"]
-    return prose, residue
-
-
-def fit(texts: DataFrame) -> Model:
-    """The model fitted on all texts(text)."""
-    counted = materialize(count_ngrams(texts, None), "ngrams")
-    total = sum(r.prose for r in counted.where("bucket = -2").collect())
-    least = max(FURNITURE_LEAST, FURNITURE_SHARE * total)
-    furniture = frozenset(r.line for r in counted.where((F.col("bucket") == -1) & (F.col("prose") >= least)).select("line").collect())
-    prose, _ = _arrays(counted)
-    first = Model(log_ratios(prose, np.zeros(BUCKETS)), furniture)
-    return Model(log_ratios(*_arrays(count_ngrams(texts, first))), furniture)
+    counts = np.zeros(BUCKETS)
+    counts[got["bucket"]] = got["n"]
+    return counts
 
 
+#: How much lower the first model's bars are for a line to be looked at again.
+FREER = 0.5
 #: n-grams' worth of no evidence that a line has beside its own, so that a word or two prove little.
 PRIOR = 5
 
@@ -270,12 +250,6 @@ def line_means(lines: Lines, ratios: np.ndarray) -> np.ndarray:
     return (sums[lines.starts[1:]] - sums[lines.starts[:-1]]) / (lines.sizes + PRIOR)
 
 
-def claims(lines: Lines, model: Model) -> np.ndarray:
-    """Which lines the model takes for residue surely enough to be fitted on."""
-    free = np.array([x not in model.furniture for x in lines.canonical], dtype=bool)
-    return free & (line_means(lines, model.ratios) > CLAIM)
-
-
 def _covered(lines: Lines, sums: np.ndarray, width: int, least: float) -> np.ndarray:
     """How many n-grams of each line lie in windows of its own whose mean is above `least`."""
     total = len(sums) - 1
@@ -313,6 +287,18 @@ def residue_lines(texts: list[str], model: Model) -> list[tuple[int, int, str, f
     return out
 
 
+def suspicious(texts: list[str], model: Model) -> list[tuple[int, int, bool]]:
+    """(text, line_no, claimed) of lines with any window that the model, a margin more freely used, takes for residue."""
+    lines, ratios = Lines(texts), model.ratios
+    if not len(lines.grams):
+        return []
+    sums = np.concatenate(([0.0], np.cumsum(ratios[0, lines.grams], dtype=np.float64)))
+    means = line_means(lines, ratios)
+    hot = (_covered(lines, sums, WINDOW, RATIO - FREER) > 0) | (_covered(lines, sums, SLOT_WINDOW, SLOT_RATIO) > 0)
+    hot |= (lines.sizes < WINDOW) & (means > SLOT_RATIO - FREER)
+    return [(lines.text[k], lines.number[k], bool(means[k] > CLAIM)) for k in np.flatnonzero(hot) if lines.canonical[k] not in model.furniture]
+
+
 def has_slot(line: str) -> bool:
     if _SURE.search(line) or _FAILED.search(line):
         return True
@@ -324,17 +310,37 @@ def has_slot(line: str) -> bool:
 
 
 def find_residue(articles: DataFrame) -> DataFrame:
-    """article_id, line_no, kind, coverage of every residue line. NULL ids, NULL and empty content have none."""
+    """article_id, line_no, kind, coverage of every residue line. NULL ids, NULL and empty content have none.
+
+    The texts are gone over twice: to count, and to take out the lines that the first model finds suspicious at all.
+    Of these, the lines it claims go over from the prose model to the residue model, and the second model decides.
+    """
     texts = articles.select("article_id", F.col("content").alias("text")).where("article_id IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sent = articles.sparkSession.sparkContext.broadcast(fit(texts.select("text")))
+    counted = materialize(count_ngrams(texts), "ngrams")
+    total = sum(r.n for r in counted.where("bucket = -2").collect())
+    least = max(FURNITURE_LEAST, FURNITURE_SHARE * total)
+    furniture = frozenset(r.line for r in counted.where((F.col("bucket") == -1) & (F.col("n") >= least)).select("line").collect())
+    prose = _array(counted)
+    sc = articles.sparkSession.sparkContext
+    first = sc.broadcast(Model(log_ratios(prose, np.zeros(BUCKETS)), furniture))
+
+    def suspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            ids, own = b["article_id"].tolist(), b["text"].tolist()
+            rows = [(ids[t], n, own[t].split("\n")[n - 1], c) for t, n, c in suspicious(own, first.value)]
+            yield pd.DataFrame(rows, columns=["article_id", "line_no", "text", "claimed"])
+
+    lines = materialize(texts.mapInPandas(suspect, "article_id bigint, line_no int, text string, claimed boolean"), "suspects")
+    claimed = _array(count_ngrams(lines.where("claimed").select("text")))
+    second = sc.broadcast(Model(log_ratios(np.maximum(0, prose - claimed), claimed), furniture))
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids = b["article_id"].tolist()
-            rows = [(ids[t], *x) for t, *x in residue_lines(b["text"].tolist(), sent.value)]
+            ids, numbers = b["article_id"].tolist(), b["line_no"].tolist()
+            rows = [(ids[k], numbers[k], kind, c) for k, _, kind, c in residue_lines(b["text"].tolist(), second.value)]
             yield pd.DataFrame(rows, columns=["article_id", "line_no", "kind", "coverage"])
 
-    return texts.mapInPandas(find, "article_id bigint, line_no int, kind string, coverage double")
+    return lines.mapInPandas(decide, "article_id bigint, line_no int, kind string, coverage double")
 
 
 def residue_articles(articles: DataFrame) -> DataFrame:
