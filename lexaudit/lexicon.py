@@ -225,7 +225,7 @@ def hit_count(text: Column, *names: str, mode: str = "regex", whole_words: bool
 
     A regular expression is tried only where the text holds its stem.
     """
-    return let(text, lambda t: F.size(F.filter(_tests(names, mode, whole_words), lambda x: t.contains(x["s"]) & t.rlike(x["p"]))))
+    return let(text, lambda t: F.size(F.filter(_tests(names, mode, whole_words), lambda x: t.contains(x["s"]) & F.rlike(t, x["p"]))))
 
 
 def stem(pattern: str) -> str:
@@ -243,7 +243,7 @@ def stem(pattern: str) -> str:
 
 def hits(text: Column, name: str) -> Column:
     """The patterns of a set that match, as an array in the set's order; empty for NULL."""
-    return let(text, lambda t: F.transform(F.filter(_tests((name,), "regex", False), lambda x: t.contains(x["s"]) & t.rlike(x["p"])), lambda x: x["p"]))
+    return let(text, lambda t: F.transform(F.filter(_tests((name,), "regex", False), lambda x: t.contains(x["s"]) & F.rlike(t, x["p"])), lambda x: x["p"]))
 
 
 # the same tests as SQL, for the queries' SQL
