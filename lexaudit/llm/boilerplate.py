@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -103,17 +103,21 @@ class Knowledge:
 
 
 def learn(articles: DataFrame) -> Knowledge:
-    """Counts, over all texts, in how many of them each menu segment and each longer line stands."""
+    """Counts, over all texts, in how many of them each menu segment and each longer line stands.
+
+    What stands in copies of one text only is no template, however many there are: each line also keeps a mask of 64
+    bits, one of them set by the longest line of each text that holds it, and must have met several.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            held: Counter = Counter()
+            held: dict[tuple[str, str], list[int]] = {("texts", ""): [len(b), 0]}
             for source, text in zip(b["source_key"], b["content"]):
-                site, own = _site(source), set()
+                site, own, longest = _site(source), set(), ""
                 for line in text.split("\n"):
                     line = line.strip()
-                    if not line:
-                        continue
+                    if len(line) > len(longest):
+                        longest = line
                     if len(line) > TEMPLATE_CHARS or line.count(" ") < TEMPLATE_WORDS - 1:
                         continue
                     parts = _parts(line)
@@ -122,19 +126,25 @@ def learn(articles: DataFrame) -> Knowledge:
                     c = canonical(line, site)
                     if c.count(" ") >= TEMPLATE_WORDS - 1:
                         own.add(("template", c))
-                held.update(own)
-            held[("texts", "")] = len(b)
-            yield pd.DataFrame([(k, v, n) for (k, v), n in held.items()], columns=["kind", "value", "n"])
+                bit = 1 << zlib.crc32(longest.encode()) % 63
+                for k in own:
+                    x = held.get(k)
+                    if x is None:
+                        held[k] = [1, bit]
+                    else:
+                        x[0] += 1
+                        x[1] |= bit
+            yield pd.DataFrame([(k, v, n, m) for (k, v), (n, m) in held.items()], columns=["kind", "value", "n", "mask"])
 
     texts = articles.select(source_key("source").alias("source_key"), "content").where("content IS NOT NULL AND content <> ''")
-    counted = texts.mapInPandas(count, "kind string, value string, n bigint").groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    counted = texts.mapInPandas(count, "kind string, value string, n bigint, mask bigint").groupBy("kind", "value").agg(F.sum("n").alias("n"), F.bit_count(F.bit_or("mask")).alias("met"))
     counted = materialize(counted.where("n >= 3 OR kind = 'texts'"), "lines")
     total = sum(r.n for r in counted.where("kind = 'texts'").collect())
 
-    def of(kind: str, least: float) -> frozenset[str]:
-        return frozenset(r.value for r in counted.where((F.col("kind") == kind) & (F.col("n") >= least)).select("value").collect())
+    def of(kind: str, least: float, met: int) -> frozenset[str]:
+        return frozenset(r.value for r in counted.where((F.col("kind") == kind) & (F.col("n") >= least) & (F.col("met") >= met)).select("value").collect())
 
-    return Knowledge(of("label", max(LABEL_LEAST, LABEL_SHARE * total)), of("template", max(TEMPLATE_LEAST, TEMPLATE_SHARE * total)))
+    return Knowledge(of("label", max(LABEL_LEAST, LABEL_SHARE * total), 2), of("template", max(TEMPLATE_LEAST, TEMPLATE_SHARE * total), 6))
 
 
 def density(chars: int, tags: int, link_chars: int, link_tags: int, body_chars: int, body_link_chars: int) -> float:

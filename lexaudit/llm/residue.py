@@ -202,7 +202,8 @@ def log_ratios(prose: np.ndarray, residue: np.ndarray) -> np.ndarray:
 
 
 #: A line of at most so many characters that this share of all texts holds is furniture of the sites, not residue.
-FURNITURE_CHARS, FURNITURE_SHARE, FURNITURE_LEAST = 80, 0.005, 4
+#: Only texts of some length count: a notice in a page's place stands alone or nearly so.
+FURNITURE_CHARS, FURNITURE_SHARE, FURNITURE_LEAST, FURNITURE_TEXT = 80, 0.005, 4, 500
 
 
 class Model:
@@ -219,13 +220,14 @@ def count_ngrams(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, total = np.zeros(BUCKETS, dtype=np.int64), 0
         for b in batches:
-            lines = Lines(b["text"].tolist())
+            own = b["text"].tolist()
+            lines = Lines(own)
             grams += np.bincount(lines.grams, minlength=BUCKETS)
-            held = Counter(x for _, x in {(k, x) for k, x in zip(lines.text, lines.canonical) if len(x) <= FURNITURE_CHARS})
-            yield pd.DataFrame({"bucket": -1, "line": list(held), "n": list(held.values())})
+            held = Counter(x for _, x in {(k, x) for k, x in zip(lines.text, lines.canonical) if len(x) <= FURNITURE_CHARS and len(own[k]) >= FURNITURE_TEXT})
+            yield pd.DataFrame([(-1, x, n) for x, n in held.items()], columns=["bucket", "line", "n"])
             total += len(b)
         k = np.flatnonzero(grams)
-        yield pd.DataFrame({"bucket": [*k, -2], "line": "", "n": [*grams[k], total]})
+        yield pd.DataFrame([*((x, "", n) for x, n in zip(k.tolist(), grams[k].tolist())), (-2, "", total)], columns=["bucket", "line", "n"])
 
     return texts.mapInPandas(count, "bucket bigint, line string, n bigint").groupBy("bucket", "line").agg(F.sum("n").alias("n"))
 

@@ -23,7 +23,7 @@ from lexaudit.session import materialize
 
 #: Characters of a range and of its halo.
 RANGE, HALO = 32_768, 512
-#: A run of so many characters without white space is cut at multiples of it.
+#: Where so many characters hold no beginning of white space, multiples of it are boundaries.
 RUN = 128
 #: Of the size limit: what a stride leaves for slack and overlap; tokens between boundaries kept of the same kind.
 SLACK_SHARE, BUCKET = 0.14, 40
@@ -38,7 +38,7 @@ _CLOSERS = "\"'”’)]»"
 def boundaries(text: str, core_from: int, core_to: int, offset: int) -> list[tuple[int, int]]:
     """(position, kind) of every boundary in [core_from, core_to) of a slice whose first character is at `offset`.
 
-    A boundary lies before white space, so that token counts to both sides add up; in longer runs without white space,
+    A boundary lies before white space, so that token counts to both sides add up; where there is none for RUN characters,
     at multiples of RUN. What lies in the halo decides nothing that another range decides differently.
     """
     found = []
@@ -58,12 +58,12 @@ def boundaries(text: str, core_from: int, core_to: int, offset: int) -> list[tup
     first = -(-(core_from + offset) // RUN) * RUN - offset
     have = {p for p, _ in found}
     for p in range(first, core_to, RUN):
-        if p >= RUN and p not in have and not re.search(r"\s", text[p - RUN : p + 1]):
+        if p >= RUN and p not in have and not _SYNC.search(text, p - RUN, p + 1):
             found.append((p, HARD))
     return sorted(found)
 
 
-_SPACELESS = re.compile(rf"\S{{{RUN}}}")
+_SPACELESS = re.compile(rf"\S{{{RUN // 2}}}|\s{{{RUN // 2}}}")
 
 
 def _first(text: str, core_from: int, core_to: int, offset: int) -> int | None:
@@ -121,7 +121,7 @@ def _scan(key, number: int, start: int, lead: int, size: int, text: str, count)
 
 
 def _scan_words(key, number: int, start: int, lead: int, size: int, text: str, counts) -> tuple[list[tuple], int]:
-    """What _scan returns, in one pass over the tokenizer's words, for slices without long runs lacking white space."""
+    """What _scan returns, in one pass over the tokenizer's words, for slices without long runs of one kind."""
     span = _span(start, lead, size, text)
     if not span:
         return [], 0
