@@ -1,12 +1,13 @@
 """Near copies of articles (problem 7).
 
-Each article becomes the set of its word shingles, hashed by one function; its bottom-k sketch keeps the k least
-values. Inverted lists of retained values generate pairs with their overlaps; the sketch of the union estimates the
-similarity and drops what is clearly below the threshold; exact Jaccard on the full sets verifies the rest.
-
-Equal sets are one class from the start, so that a text copied any number of times makes one list entry. Of a sketch's
-values, the RARE rarest that some other sketch retains too are looked up: lists of stock phrases, which would join
-everything with everything, are only used by texts that hold nothing rarer. No list and no number of partners is capped.
+Each article becomes the set of its word shingles, hashed by one function. All sets are put in one order of their values,
+roughly the rarest first, and each is looked up by a prefix long enough that two sets of the wanted similarity meet at
+MEETINGS places there: the bounds on places follow from the sizes of both, so that no pair is missed. Exact Jaccard on
+the full sets verifies those that meet.
+
+Equal sets are one class from the start, so that a text copied any number of times makes one list entry. Any order is
+right as long as it is the same for all; rarest first makes the lists short, and stock phrases, which would join
+everything with everything, come last. No list and no number of partners is capped.
 """
 
 from __future__ import annotations
@@ -16,15 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexaudit.session import materialize
 
-#: Values a sketch keeps, values of it that are looked up, and looked-up values a pair must share.
-K, RARE, SHARED = 48, 16, 2
-#: Standard deviations below the threshold at which the estimate drops a pair.
-MARGIN = 4.0
+#: Meetings a pair needs to be verified; more make longer prefixes and fewer candidates.
+MEETINGS = 4
+#: Buckets of values, by whose counts values are ordered; meetings that are held in memory at a time.
+BUCKETS, HELD = 1 << 18, 500_000
 
 _WORD = re.compile(r"[^\W_]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -72,8 +73,8 @@ class Shingler:
             return np.unique(_mix(h).view(np.int64))
 
 
-def sketches(articles: DataFrame, words: int = 3, least_words: int = 60, k: int = K) -> DataFrame:
-    """id, sig (equal for equal sets), n (size of the set), sketch (its k least values), of each article that counts.
+def signatures(articles: DataFrame, words: int = 3, least_words: int = 60) -> DataFrame:
+    """id, sig (equal for equal sets), n (size of the set), of each article that counts.
 
     Left out are rows with NULL id and those whose content has fewer than least_words words, NULL and empty included.
     """
@@ -85,11 +86,11 @@ def sketches(articles: DataFrame, words: int = 3, least_words: int = 60, k: int
             for i, title, content in zip(b["article_id"], b["title"], b["content"]):
                 x = s.sets(title, content, least_words)
                 if x is not None and len(x):
-                    out.append((i, s._hash(x.tobytes()) - (1 << 63), len(x), x[:k]))
-            yield pd.DataFrame(out, columns=["id", "sig", "n", "sketch"])
+                    out.append((i, s._hash(x.tobytes()) - (1 << 63), len(x)))
+            yield pd.DataFrame(out, columns=["id", "sig", "n"])
 
     rows = articles.select("article_id", "title", "content").where("article_id IS NOT NULL")
-    return rows.mapInPandas(make, "id bigint, sig bigint, n int, sketch array<bigint>")
+    return rows.mapInPandas(make, "id bigint, sig bigint, n int")
 
 
 def full_sets(articles: DataFrame, words: int = 3, least_words: int = 60) -> DataFrame:
@@ -108,45 +109,123 @@ def full_sets(articles: DataFrame, words: int = 3, least_words: int = 60) -> Dat
     return articles.select("article_id", "title", "content").mapInPandas(make, "id bigint, shingles array<bigint>")
 
 
-def candidates(classes: DataFrame, threshold: float, rare: int = RARE, shared: int = SHARED, k: int = K) -> DataFrame:
-    """Pairs a, b (ids of class representatives, a < b) of classes(id, n, sketch) that may reach the threshold.
+def _ceil(x):
+    return np.ceil(x - 1e-9).astype(np.int64)
+
+
+def bucket_counts(articles: DataFrame, words: int, least_words: int) -> np.ndarray:
+    """How many values of the sets of all articles fall into each bucket."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        s, counts = Shingler(words), np.zeros(BUCKETS, dtype=np.int64)
+        for b in batches:
+            for title, content in zip(b["title"], b["content"]):
+                x = s.sets(title, content, least_words)
+                if x is not None:
+                    counts[x & (BUCKETS - 1)] += 1
+        k = np.flatnonzero(counts)
+        yield pd.DataFrame({"bucket": k, "n": counts[k]})
+
+    got = articles.select("title", "content").mapInPandas(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS rows
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    counts[got["bucket"]] = got["n"]
+    return counts
+
+
+def prefix(values: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """The first values of a set in the order of all, in which a set of at least the threshold's similarity meets it.
 
-    A pair that does shares about two thirds of its sketches' values or more; that it shares fewer than `shared` of the
-    `rare` rarest on either side is a matter of chance far below one in ten thousand.
+    Of n values such a partner shares threshold * n or more, so the first MEETINGS shared ones have so many behind them.
     """
-    postings = classes.select(F.col("id"), F.explode("sketch").alias("v"))
-    listed = postings.withColumn("df", F.count("*").over(Window.partitionBy("v")).cast("int")).where("df > 1")
-    # plain rows by id: arrays collected before the shuffle would hold one element each and weigh twice as much
-    ranked = listed.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("df", "v"))).where(F.col("place") <= rare)
-    chosen = ranked.select("id", "v", F.count("*").over(Window.partitionBy("id")).cast("int").alias("used"))
-    a, b = chosen.select("v", F.col("id").alias("a"), F.col("used").alias("ua")), chosen.select("v", F.col("id").alias("b"), F.col("used").alias("ub"))
-    met = a.join(b, "v").where("a < b").groupBy("a", "b").agg(F.count("*").alias("common"), F.min(F.least("ua", "ub")).alias("used"))
-    # texts with few listed values may have to do with fewer in common
-    met = met.where(F.col("common") >= F.least(F.lit(shared), F.col("used"))).select("a", "b")
-    s = classes.select("id", "n", "sketch")
-    both = met.join(s.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a").join(s.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-    # the k least values of the union are a sample of it; those in both sketches are of the intersection
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    m = F.size(union)
-    estimate = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union)) / m
-    low = threshold - MARGIN * F.sqrt(F.lit(threshold * (1 - threshold)) / m)
-    sizes = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
-    return both.where(sizes & (estimate >= low)).select("a", "b", "na", "nb")
+    order = np.lexsort((values, counts[values & (BUCKETS - 1)]))
+    n = len(values)
+    return values[order[: n - int(_ceil(np.float64(threshold * n))) + MEETINGS]]
+
+
+def meetings(v: np.ndarray, i: np.ndarray, place: np.ndarray, n: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, least) of the pairs in lists, sorted by v, that may be among the first `least` values a similar pair shares."""
+    at, k = np.arange(len(v)), 0
+    while len(at):
+        k += 1
+        at = at[at + k < len(v)]
+        at = at[v[at + k] == v[at]]
+        for part in np.array_split(at, max(1, len(at) // HELD)):
+            p, q = part, part + k
+            shared = _ceil(threshold / (1 + threshold) * (n[p] + n[q]))
+            least = np.minimum(MEETINGS, shared)
+            # behind the least-th shared value, both sets have room for the others
+            room = (place[p] <= n[p] - shared + least) & (place[q] <= n[q] - shared + least)
+            room &= (np.minimum(n[p], n[q]) >= threshold * np.maximum(n[p], n[q]) - 1e-9) & (i[p] != i[q])
+            p, q = p[room], q[room]
+            yield np.minimum(i[p], i[q]), np.maximum(i[p], i[q]), least[room]
+
+
+def candidates(reps: DataFrame, threshold: float, words: int, least_words: int) -> DataFrame:
+    """Pairs a, b (ids, a < b) of articles that may reach the threshold; every pair that does is among them."""
+    counts = reps.sparkSession.sparkContext.broadcast(bucket_counts(reps, words, least_words))
+
+    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        s = Shingler(words)
+        for b in batches:
+            v, ids, places, sizes = [], [], [], []
+            for i, title, content in zip(b["article_id"], b["title"], b["content"]):
+                x = s.sets(title, content, least_words)
+                if x is not None and len(x):
+                    p = prefix(x, counts.value, threshold)
+                    v.append(p)
+                    ids.append(np.full(len(p), i, dtype=np.int64))
+                    places.append(np.arange(1, len(p) + 1, dtype=np.int32))
+                    sizes.append(np.full(len(p), len(x), dtype=np.int32))
+            if v:
+                # half a value is enough: what meets by chance is verified
+                yield pd.DataFrame({"v": (np.concatenate(v) >> 32).astype(np.int32), "id": np.concatenate(ids), "place": np.concatenate(places), "n": np.concatenate(sizes)})
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest, last = [], None  # the list that may go on in the next batch
+        for b in batches:
+            if not len(b):
+                continue
+            v = b["v"].to_numpy()
+            if v[0] == v[-1] == last:
+                rest.append(b)
+                continue
+            cut = int(np.searchsorted(v, v[-1]))
+            yield from met([*rest, b.iloc[:cut]])
+            rest, last = [b.iloc[cut:]], v[-1]
+        if rest:
+            yield from met(rest)
+
+    def met(parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        x = pd.concat(parts)
+        held, size = [], 0
+        for m in meetings(x["v"].to_numpy(), x["id"].to_numpy(), x["place"].to_numpy(), x["n"].to_numpy(), threshold):
+            held.append(m)
+            size += len(m[0])
+            if size >= HELD:
+                yield pd.DataFrame(dict(zip(("a", "b", "least"), map(np.concatenate, zip(*held)))))
+                held, size = [], 0
+        if size:
+            yield pd.DataFrame(dict(zip(("a", "b", "least"), map(np.concatenate, zip(*held)))))
+
+    rows = reps.select("article_id", "title", "content").mapInPandas(post, "v int, id bigint, place int, n int")
+    pairs = rows.repartition("v").sortWithinPartitions("v").mapInPandas(meet, "a bigint, b bigint, least int")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("common"), F.min("least").alias("least")).where("common >= least").select("a", "b")
 
 
 def similar_classes(articles: DataFrame, threshold: float = 0.5, words: int = 3, least_words: int = 60) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members id, rep (the least id of equal sets); pairs a, b, jaccard of representatives with a
     similarity of at least the threshold, a < b."""
-    made = materialize(sketches(articles, words, least_words), "sketches")
+    made = materialize(signatures(articles, words, least_words), "signatures")
     least = made.groupBy("sig", "n").agg(F.min("id").alias("rep"))
-    members = made.select("id", "sig", "n").join(least, ["sig", "n"]).select("id", "rep")
-    reps = made.join(least.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sketch")
-    found = materialize(candidates(reps, threshold), "candidates")
+    members = materialize(made.join(least, ["sig", "n"]).select("id", "rep"), "members")
+    copies = members.where("id <> rep").select(F.col("id").alias("article_id"))
+    reps = articles.where("article_id IS NOT NULL").join(copies, "article_id", "left_anti")
+    found = materialize(candidates(reps, threshold, words, least_words), "candidates")
     wanted = found.select(F.explode(F.array("a", "b")).alias("article_id")).distinct()
     sets = full_sets(articles.join(wanted, "article_id", "left_semi"), words, least_words)
     one, two = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    pairs = found.join(one, "a").join(two, "b").select("a", "b", (common / (F.col("na") + F.col("nb") - common)).alias("jaccard"))
+    pairs = found.join(one, "a").join(two, "b").select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("jaccard"))
     return members, pairs.where(F.col("jaccard") >= threshold)
 
 

@@ -188,6 +188,27 @@ def test_near_copies_against_brute_force(spark):
     assert {r.article_id for r in groups} == {x for p in want for x in p}
 
 
+def test_versions_of_a_story_that_are_each_copied(spark):
+    rnd = random.Random(11)
+    vocabulary = [f"kata{i}" for i in range(5000)]
+    rows, n = [], 0
+    for _ in range(6):
+        first = [rnd.choice(vocabulary) for _ in range(160)]
+        longer = first + [rnd.choice(vocabulary) for _ in range(100)]
+        for base in (first, longer):
+            for _ in range(6):
+                w = list(base)
+                for _ in range(2):
+                    w[rnd.randrange(len(w))] = rnd.choice(vocabulary)
+                n += 1
+                rows.append({"id": n, "content": " ".join(w)})
+    rows += [{"id": 500 + i, "content": "sama " * 60 + "beda " * i} for i in range(4)]
+    sets = {r["id"]: set(zip(w, w[1:], w[2:])) for r in rows for w in [r["content"].split()]}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.5}
+    got = {(r.article_a, r.article_b) for r in nearcopies.similar_pairs(articles(spark, rows)).collect()}
+    assert got == want and len(want) > 300
+
+
 # problem 8
 
 
