@@ -201,9 +201,10 @@ def log_ratios(prose: np.ndarray, residue: np.ndarray) -> np.ndarray:
     return (np.log(rows) - np.log(p)).astype(np.float32)
 
 
-#: A line of at most so many characters that this share of all texts holds is furniture of the sites, not residue.
+#: A line of at most so many characters that this share of all texts and several sources hold may be furniture of the
+#: sites, not residue: a template that fails often fails at its own site. Slots, fillers and notices never are furniture.
 #: Only texts of some length count: a notice in a page's place stands alone or nearly so.
-FURNITURE_CHARS, FURNITURE_SHARE, FURNITURE_LEAST, FURNITURE_TEXT = 80, 0.005, 4, 500
+FURNITURE_CHARS, FURNITURE_SHARE, FURNITURE_LEAST, FURNITURE_TEXT, FURNITURE_SOURCES = 80, 0.005, 4, 500, 2
 
 
 class Model:
@@ -213,23 +214,41 @@ class Model:
         self.ratios, self.furniture = ratios, furniture
 
 
+def _words(line: str) -> str:
+    return f" {' '.join(re.findall(r'[^\W_]+', line))} "
+
+
+_SEEDS = frozenset(Lines([FILLER + NOTICES]).canonical)
+_SEED_WORDS = sorted({_words(x) for x in _SEEDS} - {"  "})
+
+
+def is_seed(line: str) -> bool:
+    """Whether a line in canonical form is a filler or notice of the seeds, holds one of several words, or is three words
+    or more of one."""
+    words = _words(line)
+    if line in _SEEDS or words in _SEED_WORDS:
+        return True
+    n = words.count(" ") - 1
+    return any(x in words for x in _SEED_WORDS if x.count(" ") > 2) or n > 2 and any(words in x for x in _SEED_WORDS)
+
+
 def count_ngrams(texts: DataFrame) -> DataFrame:
-    """bucket, line, n: counts of n-grams over all texts(text), the texts that hold each short line (bucket -1), and the
-    texts (bucket -2). Tasks add up their own counts before anything is shuffled."""
+    """bucket, line, source, n: counts of n-grams over all texts(text, source), the texts of each source that hold each
+    short line (bucket -1), and the texts (bucket -2). Tasks add up their own counts before anything is shuffled."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, total = np.zeros(BUCKETS, dtype=np.int64), 0
         for b in batches:
-            own = b["text"].tolist()
+            own, sources = b["text"].tolist(), b["source"].tolist()
             lines = Lines(own)
             grams += np.bincount(lines.grams, minlength=BUCKETS)
-            held = Counter(x for _, x in {(k, x) for k, x in zip(lines.text, lines.canonical) if len(x) <= FURNITURE_CHARS and len(own[k]) >= FURNITURE_TEXT})
-            yield pd.DataFrame([(-1, x, n) for x, n in held.items()], columns=["bucket", "line", "n"])
+            held = Counter((x, sources[k]) for k, x in {(k, x) for k, x in zip(lines.text, lines.canonical) if len(x) <= FURNITURE_CHARS and len(own[k]) >= FURNITURE_TEXT})
+            yield pd.DataFrame([(-1, x, s, n) for (x, s), n in held.items()], columns=["bucket", "line", "source", "n"])
             total += len(b)
         k = np.flatnonzero(grams)
-        yield pd.DataFrame([*((x, "", n) for x, n in zip(k.tolist(), grams[k].tolist())), (-2, "", total)], columns=["bucket", "line", "n"])
+        yield pd.DataFrame([*((x, "", "", n) for x, n in zip(k.tolist(), grams[k].tolist())), (-2, "", "", total)], columns=["bucket", "line", "source", "n"])
 
-    return texts.mapInPandas(count, "bucket bigint, line string, n bigint").groupBy("bucket", "line").agg(F.sum("n").alias("n"))
+    return texts.mapInPandas(count, "bucket bigint, line string, source string, n bigint").groupBy("bucket", "line", "source").agg(F.sum("n").alias("n"))
 
 
 def _array(counted: DataFrame) -> np.ndarray:
@@ -280,11 +299,12 @@ def residue_lines(texts: list[str], model: Model) -> list[tuple[int, int, str, f
     out = []
     for k in np.flatnonzero((cover >= COVER) | slots):
         t, number = lines.text[k], lines.number[k]
-        if lines.canonical[k] in model.furniture:
+        slot = has_slot(texts[t].split("\n")[number - 1])
+        if lines.canonical[k] in model.furniture and not slot:
             continue
         if cover[k] >= COVER:
             out.append((t, number, "line", float(cover[k])))
-        elif has_slot(texts[t].split("\n")[number - 1]):
+        elif slot:
             out.append((t, number, "slot", float(cover[k])))
     return out
 
@@ -298,7 +318,8 @@ def suspicious(texts: list[str], model: Model) -> list[tuple[int, int, bool]]:
     means = line_means(lines, ratios)
     hot = (_covered(lines, sums, WINDOW, RATIO - FREER) > 0) | (_covered(lines, sums, SLOT_WINDOW, SLOT_RATIO) > 0)
     hot |= (lines.sizes < WINDOW) & (means > SLOT_RATIO - FREER)
-    return [(lines.text[k], lines.number[k], bool(means[k] > CLAIM)) for k in np.flatnonzero(hot) if lines.canonical[k] not in model.furniture]
+    bare = lambda k: lines.canonical[k] in model.furniture and not has_slot(texts[lines.text[k]].split("\n")[lines.number[k] - 1])
+    return [(lines.text[k], lines.number[k], bool(means[k] > CLAIM)) for k in np.flatnonzero(hot) if not bare(k)]
 
 
 def has_slot(line: str) -> bool:
@@ -317,11 +338,14 @@ def find_residue(articles: DataFrame) -> DataFrame:
     The texts are gone over twice: to count, and to take out the lines that the first model finds suspicious at all.
     Of these, the lines it claims go over from the prose model to the residue model, and the second model decides.
     """
-    texts = articles.select("article_id", F.col("content").alias("text")).where("article_id IS NOT NULL AND text IS NOT NULL AND text <> ''")
+    source = F.coalesce(F.lower(F.trim("source")), F.lit("")) if "source" in articles.columns else F.lit("")
+    texts = articles.select("article_id", F.col("content").alias("text"), source.alias("source")).where("article_id IS NOT NULL AND text IS NOT NULL AND text <> ''")
     counted = materialize(count_ngrams(texts), "ngrams")
     total = sum(r.n for r in counted.where("bucket = -2").collect())
     least = max(FURNITURE_LEAST, FURNITURE_SHARE * total)
-    furniture = frozenset(r.line for r in counted.where((F.col("bucket") == -1) & (F.col("n") >= least)).select("line").collect())
+    held = counted.where("bucket = -1").groupBy("line").agg(F.sum("n").alias("n"), F.count_if(F.col("source") != "").alias("sources"))
+    frequent = held.where((F.col("n") >= least) & (F.col("sources") >= FURNITURE_SOURCES)).select("line").collect()
+    furniture = frozenset(r.line for r in frequent if not has_slot(r.line) and not is_seed(r.line))
     prose = _array(counted)
     sc = articles.sparkSession.sparkContext
     first = sc.broadcast(Model(log_ratios(prose, np.zeros(BUCKETS)), furniture))
@@ -333,7 +357,7 @@ def find_residue(articles: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["article_id", "line_no", "text", "claimed"])
 
     lines = materialize(texts.mapInPandas(suspect, "article_id bigint, line_no int, text string, claimed boolean"), "suspects")
-    claimed = _array(count_ngrams(lines.where("claimed").select("text")))
+    claimed = _array(count_ngrams(lines.where("claimed").select("text", F.lit("").alias("source"))))
     second = sc.broadcast(Model(log_ratios(np.maximum(0, prose - claimed), claimed), furniture))
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -125,6 +125,18 @@ def test_residue(spark):
     assert ids(residue.residue_articles(articles(spark, []))) == []
 
 
+def test_residue_that_fails_often(spark):
+    verbs = ["membuka", "menunda", "menutup", "meninjau", "membahas", "menambah"]
+    prose = "Pemerintah kota {} pelatihan kerja bagi warga di kecamatan itu sejak pekan lalu, ujar kepala dinas kepada wartawan."
+    page = lambda i: "\n".join(prose.format(v) for v in random.Random(i).sample(verbs, 5))
+    bad = ["{{lead}}", "isi_berita: undefined", "Lorem ipsum dolor sit amet", "Teks pengisi sementara", "«nama»"]
+    rows = [{"id": i, "source": f"s{i % 8}", "content": page(i)} for i in range(300)]
+    # by one site, and by all of them
+    rows += [{"id": 1000 + 10 * k + i, "source": "s0", "content": page(i) + "\n" + x} for k, x in enumerate(bad[:3]) for i in range(6)]
+    rows += [{"id": 2000 + 10 * k + i, "source": f"s{i}", "content": page(i) + "\n" + x} for k, x in enumerate(bad[2:]) for i in range(6)]
+    assert ids(residue.residue_articles(articles(spark, rows))) == sorted(r["id"] for r in rows if r["id"] >= 1000)
+
+
 # problem 5
 
 
