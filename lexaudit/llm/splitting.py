@@ -23,8 +23,9 @@ from lexaudit.session import materialize
 
 #: Characters of a range and of its halo.
 RANGE, HALO = 32_768, 512
-#: Where so many characters hold no beginning of white space, multiples of it are boundaries.
-RUN = 128
+#: Where so many bytes hold no beginning of white space, multiples of BLOCK characters are boundaries; in blocks of more
+#: than DENSE bytes, of STEP. As a token is a byte at least, no two boundaries are more than RUN tokens apart.
+RUN, BLOCK, DENSE, STEP = 128, 64, 96, 16
 #: Of the size limit: what a stride leaves for slack and overlap; tokens between boundaries kept of the same kind.
 SLACK_SHARE, BUCKET = 0.14, 40
 # kinds of boundary, better ones higher
@@ -38,8 +39,8 @@ _CLOSERS = "\"'”’)]»"
 def boundaries(text: str, core_from: int, core_to: int, offset: int) -> list[tuple[int, int]]:
     """(position, kind) of every boundary in [core_from, core_to) of a slice whose first character is at `offset`.
 
-    A boundary lies before white space, so that token counts to both sides add up; where there is none for RUN characters,
-    at multiples of RUN. What lies in the halo decides nothing that another range decides differently.
+    A boundary lies before white space, so that token counts to both sides add up; where there is none for RUN bytes, at
+    multiples of BLOCK or STEP. What lies in the halo decides nothing that another range decides differently.
     """
     found = []
     for m in _SYNC.finditer(text, max(0, core_from - 1), min(len(text), core_to + 1)):
@@ -55,15 +56,42 @@ def boundaries(text: str, core_from: int, core_to: int, offset: int) -> list[tup
         while b > 0 and p - b < 4 and text[b] in _CLOSERS:
             b -= 1
         found.append((p, PARAGRAPH if lines > 1 else LINE if lines else SENTENCE if text[b] in _ENDS else SPACE))
-    first = -(-(core_from + offset) // RUN) * RUN - offset
     have = {p for p, _ in found}
-    for p in range(first, core_to, RUN):
-        if p >= RUN and p not in have and not _SYNC.search(text, p - RUN, p + 1):
-            found.append((p, HARD))
+    for p in range(-(-(core_from - 3 + offset) // STEP) * STEP - offset, core_to, STEP):
+        q = _hard(text, p, offset)
+        if q is not None and core_from <= q < core_to and q not in have:
+            found.append((q, HARD))
     return sorted(found)
 
 
-_SPACELESS = re.compile(rf"\S{{{RUN // 2}}}|\s{{{RUN // 2}}}")
+def _hard(text: str, p: int, offset: int) -> int | None:
+    """The boundary at a multiple of STEP inside a long run without another, behind the character it would cut where a
+    character of the text stands for a byte."""
+    if p <= 0 or p >= len(text) or (p + offset) % BLOCK and not _dense(text, p - (p + offset) % BLOCK):
+        return None
+    before = max((m.start() for m in _SYNC.finditer(text, max(0, p - RUN), p + 1)), default=max(0, p - RUN))
+    after = _SYNC.search(text, p + 1, min(len(text), p + RUN + 1))
+    until = min(after.start() if after else len(text), p + RUN)
+    if before == p or len(text[before:until].encode("utf-8", "surrogatepass")) < RUN:
+        return None
+    q = p
+    while q < len(text) - 1 and q - p < 3 and "\x80" <= text[q] <= "\xbf":
+        q += 1
+    return q
+
+
+def _dense(text: str, start: int) -> bool:
+    return len(text[max(0, start) : start + BLOCK].encode("utf-8", "surrogatepass")) > DENSE
+
+
+_SPACELESS, _LONG = re.compile(rf"\S{{{RUN // 2}}}|\s{{{RUN // 2}}}"), re.compile(rf"\S{{{RUN // 8},}}|\s{{{RUN // 8},}}")
+
+
+def _spaceless(text: str) -> bool:
+    """Whether hard boundaries may lie in a text: not if all words and all white space are below half a RUN of bytes."""
+    if _SPACELESS.search(text):
+        return True
+    return not text.isascii() and any(len(m.group().encode("utf-8", "surrogatepass")) >= RUN // 2 for m in _LONG.finditer(text))
 
 
 def _first(text: str, core_from: int, core_to: int, offset: int) -> int | None:
@@ -160,7 +188,7 @@ def scan_ranges(ranges: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:
         for b in batches:
             out: list[tuple] = []
             for r in b.itertuples(index=False):
-                if _SPACELESS.search(r.slice):
+                if _spaceless(r.slice):
                     rows, total = _scan(r.id, r.number, r.start, r.lead, r.size, r.slice, c.count)
                 else:
                     rows, total = _scan_words(r.id, r.number, r.start, r.lead, r.size, r.slice, c.counts)
@@ -200,6 +228,8 @@ def oversized(texts: DataFrame, limit: int, ranks: str = DEFAULT_RANKS) -> DataF
 def choose_cuts(scanned: DataFrame, limit: int, overlap: int) -> DataFrame:
     """id, piece_no, at (start of the piece's own text), upto (its end, NULL for the last), of every text beyond limit."""
     slack = max(BUCKET * 2, int(limit * SLACK_SHARE))
+    if _room(limit, overlap) > limit:  # a boundary that is kept lies in every slack
+        slack = max(slack, RUN + BUCKET)
     stride = limit - overlap - slack
     if stride <= slack:
         raise ValueError("the limit leaves no room beside the overlap")
@@ -233,6 +263,29 @@ def _overlap_start(text: str, own: int, overlap: int, room: int, count) -> int:
     return at
 
 
+def _parts(own: str, room: int, count) -> list[tuple[int, int]]:
+    """Where an own text is cut further, at boundaries, so that no part is beyond `room` tokens."""
+    if room == float("inf") or count(own) <= room:
+        return [(0, len(own))]
+    cuts, last = [0], 0
+    for p in [*[p for p, _ in boundaries(own, 1, len(own), 0)], len(own)]:
+        if last > cuts[-1] and count(own[cuts[-1] : p]) > room:
+            cuts.append(last)
+        last = p
+    return list(zip(cuts, [*cuts[1:], len(own)]))
+
+
+def _room(limit: int, overlap: int) -> float:
+    return float("inf") if limit - overlap > 2 * (RUN + BUCKET) else limit - overlap
+
+
+def _numbered(pieces: DataFrame, limit: int, overlap: int) -> DataFrame:
+    """Pieces numbered anew where a slack may have had no boundary, so that own texts may have been cut further."""
+    if _room(limit, overlap) > limit:
+        return pieces
+    return pieces.withColumn("piece_no", (F.row_number().over(Window.partitionBy("id").orderBy("own_start")) - 1).cast("bigint"))
+
+
 def split_texts(texts: DataFrame, limit: int = 1500, overlap: int = 100, ranks: str = DEFAULT_RANKS) -> DataFrame:
     """Pieces of texts(id, text) larger than limit: id, piece_no, start, own_start, end, n_tokens, piece.
 
@@ -247,22 +300,25 @@ def split_texts(texts: DataFrame, limit: int = 1500, overlap: int = 100, ranks:
     until = F.coalesce("upto", F.length("text").cast("bigint"))
     slices = cuts.join(may, "id").select("id", "piece_no", "at", until.alias("end"), back.alias("back"), F.substring(F.col("text"), (F.col("at") - back + 1).cast("int"), (until - F.col("at") + back).cast("int")).alias("slice"))
     ident = texts.schema["id"].dataType.simpleString()
+    room = _room(limit, overlap)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = counter(ranks).count
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
-                own = count(r.slice[r.back :])
-                s = _overlap_start(r.slice, r.back, overlap, limit - own, count) if r.back else 0
-                piece = r.slice[s:]
-                while s < r.back and count(piece) > limit:  # a hard cut can change the tokens around it
-                    s = min(r.back, s + RUN // 4)
-                    piece = r.slice[s:]
-                out.append((r.id, r.piece_no, r.at - r.back + s, r.at, r.end, count(piece), piece))
+                for x, y in _parts(r.slice[r.back :], room, count):
+                    back, text = r.back + x, r.slice[: r.back + y]
+                    s = _overlap_start(text, back, overlap, limit - count(text[back:]), count) if back else 0
+                    piece = text[s:]
+                    while s < back and count(piece) > limit:  # a hard cut can change the tokens around it
+                        s = min(back, s + 2 * STEP)
+                        piece = text[s:]
+                    out.append((r.id, r.piece_no, r.at - r.back + s, r.at + x, r.at + y, count(piece), piece))
             yield pd.DataFrame(out, columns=["id", "piece_no", "start", "own_start", "end", "n_tokens", "piece"])
 
-    return slices.mapInPandas(emit, f"id {ident}, piece_no bigint, start bigint, own_start bigint, end bigint, n_tokens bigint, piece string")
+    pieces = slices.mapInPandas(emit, f"id {ident}, piece_no bigint, start bigint, own_start bigint, end bigint, n_tokens bigint, piece string")
+    return _numbered(pieces, limit, overlap)
 
 
 def file_ranges(spark: SparkSession, paths: list[str], range_bytes: int = 8 << 20, halo: int = 4 * HALO) -> DataFrame:
@@ -305,6 +361,7 @@ def split_files(spark: SparkSession, paths: list[str], limit: int = 1500, overla
 
     scanned = materialize(ranges.mapInPandas(scan, "id string, number bigint, at bigint, before bigint, kind int"), "boundaries")
     cuts = choose_cuts(scanned, limit, overlap)
+    room = _room(limit, overlap)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = counter(ranks).count
@@ -317,13 +374,15 @@ def split_files(spark: SparkSession, paths: list[str], limit: int = 1500, overla
                 with open(r.id, "rb") as f:
                     f.seek(r.at - back)
                     raw = f.read(end - r.at + back).decode("latin-1")
-                own = utf8(raw[back:])
-                s = _overlap_start(_ascii_spaces(raw), back, overlap, limit - own, utf8) if back else 0
-                piece = raw[s:].encode("latin-1").decode("utf-8", "replace")
-                out.append((r.id, r.piece_no, r.at - back + s, r.at, end, count(piece), piece))
+                for x, y in _parts(_ascii_spaces(raw[back:]), room, utf8):
+                    text = raw[: back + y]
+                    s = _overlap_start(_ascii_spaces(text), back + x, overlap, limit - utf8(text[back + x :]), utf8) if back + x else 0
+                    piece = text[s:].encode("latin-1").decode("utf-8", "replace")
+                    out.append((r.id, r.piece_no, r.at - back + s, r.at + x, r.at + y, count(piece), piece))
             yield pd.DataFrame(out, columns=["id", "piece_no", "start", "own_start", "end", "n_tokens", "piece"])
 
-    return cuts.mapInPandas(emit, "id string, piece_no bigint, start bigint, own_start bigint, end bigint, n_tokens bigint, piece string")
+    pieces = cuts.mapInPandas(emit, "id string, piece_no bigint, start bigint, own_start bigint, end bigint, n_tokens bigint, piece string")
+    return _numbered(pieces, limit, overlap)
 
 
 def _ascii_spaces(s: str) -> str:

@@ -324,6 +324,35 @@ def test_files_by_ranges(spark, tmp_path):
     assert b"".join(raw[r.own_start : r.end] for r in own) == raw and max(r.n_tokens for r in own) <= 1500
 
 
+def spaceless():
+    rnd = random.Random(8)
+    return {k: "".join(chr(rnd.randrange(a, b)) for _ in range(12_000)) for k, (a, b) in enumerate([(0x1B83, 0x1BA0), (0xA984, 0xA9B2), (0x4E00, 0x9FA0), (0x1F600, 0x1F640)])}
+
+
+@pytest.mark.parametrize("limit,overlap", [(1500, 100), (300, 50)])
+def test_pieces_of_scripts_without_spaces(spark, limit, overlap):
+    t, c = spaceless(), counter()
+    by = {}
+    for r in splitting.split_texts(spark.createDataFrame(list(t.items()), "id bigint, text string"), limit, overlap).collect():
+        by.setdefault(r.id, []).append(r)
+    assert set(by) == set(t)
+    for i, own in by.items():
+        own.sort(key=lambda r: r.piece_no)
+        assert [r.piece_no for r in own] == list(range(len(own)))
+        assert "".join(t[i][r.own_start : r.end] for r in own) == t[i]
+        assert max(c.count(r.piece) for r in own) <= limit
+        assert all(c.count(t[i][r.start : r.own_start]) >= overlap - 4 for r in own[1:])
+
+
+def test_files_without_spaces(spark, tmp_path):
+    p = tmp_path / "spaceless.txt"
+    p.write_text("".join(spaceless().values()), encoding="utf-8")
+    raw = p.read_bytes()
+    own = sorted(splitting.split_files(spark, [str(p)], 1500, 100, range_bytes=20_000).collect(), key=lambda r: r.piece_no)
+    assert b"".join(raw[r.own_start : r.end] for r in own) == raw and max(r.n_tokens for r in own) <= 1500
+    assert not any("\ufffd" in r.piece for r in own)
+
+
 def test_every_query_runs_on_the_smallest_tables(spark):
     from lexaudit.llm.queries import QUERIES
 
