@@ -9,9 +9,11 @@ a failed slot leaves, stands there.
 
 from __future__ import annotations
 
+import builtins
 import re
 from collections import Counter
 from collections.abc import Iterator
+from http import HTTPStatus
 
 import numpy as np
 import pandas as pd
@@ -20,93 +22,89 @@ from pyspark.sql import functions as F
 
 from lexaudit.session import materialize
 
-# Texts the residue model starts from.
+# What the residue model starts from. Filler text in Latin as printers use it, and sentences of the kind that
+# editors' tools and templates put where text is to come, in general words.
 FILLER = """
 lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
 ut enim ad minim veniam quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat
 duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur
 excepteur sint occaecat cupidatat non proident sunt in culpa qui officia deserunt mollit anim id est laborum
-teks pengisi sementara
-ini paragraf contoh
-contoh judul kedua
-tulis isi berita di sini
-ganti kalimat ini nanti
-isi blok ini lewat panel admin
-paragraf uji tata letak
-naskah menyusul
-konten belum tersedia
-tes tes 123
-asdf asdf asdf
-placeholder text goes here
-your content here
-sample paragraph
-insert text
-todo isi teks
-xxx xxx xxx
+ini adalah contoh teks untuk mengisi ruang kosong pada halaman
+gantilah teks contoh ini dengan naskah yang sebenarnya
+masukkan judul artikel pada kolom ini dan isi artikel pada kolom di bawahnya
+silakan sunting paragraf percobaan ini melalui dasbor pengelola situs
+isi halaman akan segera kami lengkapi
+teks sementara, belum final, jangan diterbitkan
+uji coba penerbitan, abaikan tulisan ini
+this is only sample text that fills an empty area of the layout
+replace this text with your own words before you publish
+enter a heading for the article in this field and its body in the next one
+content is coming soon
+for testing purposes only, please ignore this post
+qwertyuiop asdfghjkl zxcvbnm
+blah blah blah
 """
+# Messages of servers, gateways, browsers' checks and scripts, in general words.
 NOTICES = """
-akses ditolak
-nomor rujukan: abcd123456
-galat 404
-galat 503
-404 - not found
-502 - bad gateway
-500 internal server error
-nginx
-halaman yang anda cari tidak ada atau sudah dipindahkan
-halaman tidak ditemukan
-oops! terjadi kesalahan (500). coba beberapa saat lagi
-server sedang sibuk, silakan muat ulang halaman ini
-situs sedang dalam pemeliharaan. kami kembali pukul 10.00
-tunggu sebentar, halaman sedang disiapkan
-memeriksa peramban anda sebelum membuka halaman
-memuat
-loading
-please wait
-sesi anda berakhir. silakan masuk kembali
-maaf, tautan ini sudah kedaluwarsa
-artikel telah dihapus oleh redaksi
-kembali ke depan
-buktikan anda bukan robot
-geser untuk melengkapi gambar
-id sinar abcd123456
-verify you are human
-checking your browser before accessing
-konten tidak tampil karena pemblokir iklan aktif. matikan dahulu
-aktifkan javascript untuk membaca
-peramban anda tidak mendukung skrip
-mohon hidupkan lalu muat ulang
-this app needs javascript to run
-please enable javascript
-please turn on scripts in your browser to continue
-warning: undefined variable $isi in /srv/tampil.php on line 10
-error establishing a database connection
-sqlstate[hy000]: tabel berita tidak ditemukan
-traceback: template 'detail' gagal dirender
-java.lang.nullpointerexception
-at id.contoh.artikel.isi(artikel.java:100)
-keyerror: 'judul'
-[object object]
-undefined
-nan undefined
-null
-content: null
-{}
-<!-- isi -->
+maaf, kami tidak dapat menemukan halaman yang anda tuju di situs ini
+alamat yang anda ketik salah atau halamannya telah kami hapus
+terjadi galat pada peladen kami, cobalah lagi nanti
+peladen tidak menanggapi permintaan anda
+layanan untuk sementara tidak tersedia karena perawatan sistem
+anda tidak memiliki izin untuk mengakses halaman tersebut
+permintaan anda kami blokir demi keamanan. kode kejadian: 8f3a91c2
+mohon menunggu, isi halaman masih dimuat
+sebelum melanjutkan, peramban anda perlu kami periksa dahulu
+selesaikan pemeriksaan keamanan untuk membuktikan bahwa anda manusia
+centang kotak untuk menunjukkan bahwa anda bukan program otomatis
+masa berlaku sesi anda telah habis, silakan login kembali
+tautan yang anda buka tidak berlaku lagi
+tulisan ini sudah ditarik oleh penerbit
+javascript di peramban anda belum aktif, hidupkan javascript agar situs dapat ditampilkan
+situs ini membutuhkan javascript
+peramban lama tidak didukung, perbarui peramban anda
+nonaktifkan pemblokir iklan anda untuk melanjutkan membaca
+kembali ke halaman utama atau gunakan pencarian
+sorry, we could not find the page you were looking for
+something went wrong on our end, please try again later
+the server is temporarily unable to service your request due to maintenance
+you do not have permission to view this directory
+your request was blocked by the security policy. incident id: 8f3a91c2
+hold on while the page is loading
+we need to make sure that you are not a robot, complete the security check to continue
+your session has timed out, log in again
+this link has expired
+you need javascript enabled in your browser to use this site
+javascript is disabled, turn it on and reload the page
+disable your ad blocker to continue reading
+fatal error: uncaught exception: call to a member function on null in /var/www/html/index.php on line 42
+notice: undefined index: content in /var/www/html/page.php on line 7
+could not connect to the database server: connection refused
+you have an error in your sql syntax near 'select' at line 1
+sqlstate[42s02]: base table or view not found
+traceback (most recent call last): file "app.py", line 42, in render
+exception in thread "main" java.lang.illegalstateexception: no value present
+at com.example.web.pagecontroller.show(pagecontroller.java:42)
+typeerror: cannot read properties of undefined (reading 'title')
+referenceerror: body is not defined
+template error: could not render block
 """
-# Names templates give their slots, and the marks around them.
-SLOT_NAMES = (
-    "judul isi isi_berita konten lead paragraf paragraf_1 penulis editor nama nama_narsum jabatan tanggal tanggal_terbit waktu jam lokasi kota "
-    "tempat acara jumlah nilai nilai_rp harga komoditas sumber foto foto.caption caption gambar tautan kategori kanal "
-    "title body content article.body author name date location amount company perusahaan"
-).split()
+#: Names in slots of the seeds, of the kind that programs use; those of the corpus are learned from it.
+SLOT_NAMES = "title name date author body_text price user.name item_count first_name page.title city_name".split()
+#: The errors a language's library names are errors in print as well.
+_ERRORS = "\n".join(f"{k.lower()}: 'x'" for k, v in vars(builtins).items() if isinstance(v, type) and issubclass(v, Exception))
+#: Codes and phrases of the protocol's error answers, as servers print them.
+_STATUS = "\n".join(f"{x.value} {x.phrase.lower()}\nerror {x.value}\n{x.value} - {x.phrase.lower()}\ngalat {x.value}" for x in HTTPStatus if x.value >= 400)
 _N = r"[^\W\d_][\w.]{0,40}"
 #: Marks that stand for slots whatever the name.
-_SURE = re.compile(rf"\{{\{{\s*{_N}\s*\}}\}}|\$\{{\s*{_N}\s*\}}|%%\s*{_N}\s*%%|@@\s*{_N}\s*@@|\[\[\s*{_N}\s*\]\]|<%=?\s*{_N}\s*%>|«\s*{_N}\s*»|__{_N}__|\{{%\s*{_N}[^%]*%\}}")
-#: Marks that stand for slots only around a name templates use, or one with an underscore or full stop in it.
+_SURE = re.compile(rf"\{{\{{\s*({_N})\s*\}}\}}|\$\{{\s*({_N})\s*\}}|%%\s*({_N})\s*%%|@@\s*({_N})\s*@@|\[\[\s*({_N})\s*\]\]|<%=?\s*({_N})\s*%>|«\s*({_N})\s*»|__({_N})__|\{{%\s*({_N})[^%]*%\}}")
+#: Marks that stand for slots only around a name that stands between sure marks elsewhere in the corpus, or one with an
+#: underscore or full stop in it.
 _LIKELY = re.compile(rf"(?<!\w)(?:\{{\s*({_N})\s*\}}|\[\s*({_N})\s*\]|<\s*({_N})\s*>|\$({_N})\$|#({_N})#|%({_N})%)(?!\w)")
-_NAMES = {n.lower() for n in SLOT_NAMES}
-#: What a failed slot leaves inside a sentence.
+#: Of these, those that are no words in any writing.
+_PRINTED = re.compile(r"(?<![\w.])(?:NaN|\[object Object\])(?![\w.])")
+_MARKS = re.compile(r"\{\{|\$\{|%%|@@|\[\[|<%|«|__|\{%")
+#: What languages print for a missing value, and a failed slot leaves inside a sentence.
 _FAILED = re.compile(r"(?<![\w.])(?:undefined|null|nan|none|\[object object\])(?![\w.])", re.I)
 
 N, BUCKETS = 4, 1 << 16
@@ -126,14 +124,16 @@ _HASHTAG = re.compile(r"#\w+(?![\w#.])")
 class Lines:
     """The lines of some texts that aren't blank, with the n-grams of all of them in one array.
 
-    A line is scored in lower case, with one space between words, digits alike, without tags and without the marks
-    around it.
+    A line is scored in lower case, with one space between words, digits and the site's name alike, without tags and without the
+    marks around it.
     """
 
-    def __init__(self, texts: list[str]) -> None:
+    def __init__(self, texts: list[str], sites: list[str] | None = None) -> None:
         self.text, self.number, canonical = [], [], []
         for k, t in enumerate(texts):
             s = _DIGITS.sub("0", _SPACES.sub(" ", t.lower()))
+            if sites and sites[k]:
+                s = s.replace(sites[k], "~")
             if "#" in s:
                 s = _HASHTAG.sub("", s)
             for number, line in enumerate(s.split("\n"), 1):
@@ -179,9 +179,9 @@ def _hashes(text: str) -> np.ndarray:
 
 def _seed_counts() -> np.ndarray:
     counts = np.zeros(BUCKETS)
-    named = [n for n in SLOT_NAMES if "_" in n or "." in n] + ["judul", "isi", "lead", "penulis", "jumlah", "acara", "tanggal", "nama", "jabatan", "komoditas", "lokasi"]
-    slots = "\n".join(m.replace("x", n) for n in named for m in ("{{ x }}", "{{x}}", "${x}", "%%x%%", "@@x@@", "[[x]]", "<%= x %>", "«x»", "__x__", "{x}", "[x]", "<x>", "$x$", "#x#"))
-    kinds = (FILLER, NOTICES, slots)
+    slots = "\n".join(m.replace("x", n) for n in SLOT_NAMES for m in ("{{ x }}", "{{x}}", "${x}", "%%x%%", "@@x@@", "[[x]]", "<%= x %>", "«x»", "__x__", "{x}", "[x]", "<x>", "$x$", "#x#"))
+    values = "undefined\nnull\nnan\nnone\n[object object]\n{}\n[]\nundefined undefined\nnull null"
+    kinds = (FILLER, NOTICES, "\n".join((_STATUS, _ERRORS, values)), slots)
     for kind in kinds:
         own = np.zeros(BUCKETS)
         own += np.bincount(Lines([kind]).grams, minlength=BUCKETS)
@@ -207,11 +207,21 @@ def log_ratios(prose: np.ndarray, residue: np.ndarray) -> np.ndarray:
 FURNITURE_CHARS, FURNITURE_SHARE, FURNITURE_LEAST, FURNITURE_TEXT, FURNITURE_SOURCES = 80, 0.005, 4, 500, 2
 
 
+#: Share of all texts, and texts at least, in which a name stands between sure marks to be a slot's name anywhere.
+NAME_SHARE, NAME_LEAST = 1e-5, 2
+
+
 class Model:
-    """log ratios by bucket and the furniture lines, which at most lines-a-text / FURNITURE_SHARE different ones can be."""
+    """log ratios by bucket, the furniture lines, which at most lines-a-text / FURNITURE_SHARE different ones can be, and the
+    names of slots, at most slots-a-text / NAME_SHARE."""
+
+    def __init__(self, ratios: np.ndarray, furniture: frozenset[str], names: frozenset[str]) -> None:
+        self.ratios, self.furniture, self.names = ratios, furniture, names
 
-    def __init__(self, ratios: np.ndarray, furniture: frozenset[str]) -> None:
-        self.ratios, self.furniture = ratios, furniture
+
+def _site(source: str) -> str:
+    """The word of a source's address that names the site."""
+    return source.split(".")[0]
 
 
 def _words(line: str) -> str:
@@ -234,16 +244,19 @@ def is_seed(line: str) -> bool:
 
 def count_ngrams(texts: DataFrame) -> DataFrame:
     """bucket, line, source, n: counts of n-grams over all texts(text, source), the texts of each source that hold each
-    short line (bucket -1), and the texts (bucket -2). Tasks add up their own counts before anything is shuffled."""
+    short line (bucket -1), the texts (bucket -2), and the texts with each
+    name between sure marks (bucket -3). Tasks add up their own counts before anything is shuffled."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, total = np.zeros(BUCKETS, dtype=np.int64), 0
         for b in batches:
             own, sources = b["text"].tolist(), b["source"].tolist()
-            lines = Lines(own)
+            lines = Lines(own, list(map(_site, sources)))
             grams += np.bincount(lines.grams, minlength=BUCKETS)
             held = Counter((x, sources[k]) for k, x in {(k, x) for k, x in zip(lines.text, lines.canonical) if len(x) <= FURNITURE_CHARS and len(own[k]) >= FURNITURE_TEXT})
-            yield pd.DataFrame([(-1, x, s, n) for (x, s), n in held.items()], columns=["bucket", "line", "source", "n"])
+            names = Counter(x for t in own for x in _sure_names(t))
+            rows = [(-1, x, s, n) for (x, s), n in held.items()] + [(-3, x, "", n) for x, n in names.items()]
+            yield pd.DataFrame(rows, columns=["bucket", "line", "source", "n"])
             total += len(b)
         k = np.flatnonzero(grams)
         yield pd.DataFrame([*((x, "", "", n) for x, n in zip(k.tolist(), grams[k].tolist())), (-2, "", "", total)], columns=["bucket", "line", "source", "n"])
@@ -285,9 +298,9 @@ def _covered(lines: Lines, sums: np.ndarray, width: int, least: float) -> np.nda
     return inside[lines.starts[1:]] - inside[lines.starts[:-1]]
 
 
-def residue_lines(texts: list[str], model: Model) -> list[tuple[int, int, str, float]]:
+def residue_lines(texts: list[str], sites: list[str], model: Model) -> list[tuple[int, int, str, float]]:
     """(text, line_no, kind, coverage) of the lines that are residue ("line") or hold a slot ("slot")."""
-    lines, ratios = Lines(texts), model.ratios
+    lines, ratios = Lines(texts, sites), model.ratios
     if not len(lines.grams):
         return []
     sums = np.concatenate(([0.0], np.cumsum(ratios[0, lines.grams], dtype=np.float64)))
@@ -296,10 +309,12 @@ def residue_lines(texts: list[str], model: Model) -> list[tuple[int, int, str, f
     cover = np.where(short, (line_means(lines, ratios) > RATIO) & (lines.sizes > 0), cover)
     slots = _covered(lines, sums, SLOT_WINDOW, SLOT_RATIO) > 0
     slots |= short & (line_means(lines, ratios) > SLOT_RATIO)
+    odd = {k for k, t in enumerate(texts) if _PRINTED.search(t)}
     out = []
-    for k in np.flatnonzero((cover >= COVER) | slots):
+    for k in np.flatnonzero((cover >= COVER) | slots | np.isin(lines.text, list(odd))):
         t, number = lines.text[k], lines.number[k]
-        slot = has_slot(texts[t].split("\n")[number - 1])
+        line = texts[t].split("\n")[number - 1]
+        slot = has_slot(line, model.names) if slots[k] or cover[k] >= COVER else bool(_PRINTED.search(line))
         if lines.canonical[k] in model.furniture and not slot:
             continue
         if cover[k] >= COVER:
@@ -309,25 +324,52 @@ def residue_lines(texts: list[str], model: Model) -> list[tuple[int, int, str, f
     return out
 
 
-def suspicious(texts: list[str], model: Model) -> list[tuple[int, int, bool]]:
-    """(text, line_no, claimed) of lines with any window that the model, a margin more freely used, takes for residue."""
-    lines, ratios = Lines(texts), model.ratios
+#: A line of at least so many n-grams with a mean log ratio below PROSE is natural prose. Where a page has none, and its
+#: lines that aren't furniture have no more than ALONE n-grams, what stands there stands in the story's place.
+PROSE, PROSE_LEAST, ALONE = -1.5, 60, 500
+
+
+def _in_place(lines: Lines, means: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """By line, whether it stands in the place of a story: it is its page's own (no furniture), and the page has no prose."""
+    of = np.array(lines.text, dtype=np.int64)
+    many = int(of.max(initial=-1)) + 1
+    prose = np.bincount(of, weights=own & (means < PROSE) & (lines.sizes >= PROSE_LEAST), minlength=many)
+    size = np.bincount(of, weights=own * lines.sizes, minlength=many)
+    return own & ((prose == 0) & (size <= ALONE))[of]
+
+
+def suspicious(texts: list[str], sites: list[str], model: Model) -> list[tuple[int, int, bool, bool]]:
+    """(text, line_no, claimed, in_place) of lines with any window that the model, a margin more freely used, takes for residue."""
+    lines, ratios = Lines(texts, sites), model.ratios
     if not len(lines.grams):
         return []
     sums = np.concatenate(([0.0], np.cumsum(ratios[0, lines.grams], dtype=np.float64)))
     means = line_means(lines, ratios)
     hot = (_covered(lines, sums, WINDOW, RATIO - FREER) > 0) | (_covered(lines, sums, SLOT_WINDOW, SLOT_RATIO) > 0)
     hot |= (lines.sizes < WINDOW) & (means > SLOT_RATIO - FREER)
-    bare = lambda k: lines.canonical[k] in model.furniture and not has_slot(texts[lines.text[k]].split("\n")[lines.number[k] - 1])
-    return [(lines.text[k], lines.number[k], bool(means[k] > CLAIM)) for k in np.flatnonzero(hot) if not bare(k)]
+    odd = {k for k, t in enumerate(texts) if _PRINTED.search(t)}
+    if odd:
+        hot |= np.isin(lines.text, list(odd))
+    own = np.array([x not in model.furniture for x in lines.canonical])
+    in_place = _in_place(lines, means, own)
+    hot |= in_place
+    keep = lambda k: own[k] or has_slot(texts[lines.text[k]].split("\n")[lines.number[k] - 1], model.names)
+    return [(lines.text[k], lines.number[k], bool(means[k] > CLAIM or in_place[k]), bool(in_place[k])) for k in np.flatnonzero(hot) if keep(k)]
+
+
+def _sure_names(text: str) -> set[str]:
+    """The names between sure marks."""
+    if not _MARKS.search(text):
+        return set()
+    return {next(g for g in m.groups() if g).lower() for m in _SURE.finditer(text)}
 
 
-def has_slot(line: str) -> bool:
+def has_slot(line: str, names: frozenset[str] = frozenset()) -> bool:
     if _SURE.search(line) or _FAILED.search(line):
         return True
     for m in _LIKELY.finditer(line):
         name = next(g for g in m.groups() if g).lower()
-        if name in _NAMES or "_" in name.strip("_") or "." in name.strip("."):
+        if name in names or "_" in name.strip("_") or "." in name.strip("."):
             return True
     return False
 
@@ -343,27 +385,32 @@ def find_residue(articles: DataFrame) -> DataFrame:
     counted = materialize(count_ngrams(texts), "ngrams")
     total = sum(r.n for r in counted.where("bucket = -2").collect())
     least = max(FURNITURE_LEAST, FURNITURE_SHARE * total)
+    known = counted.where((F.col("bucket") == -3) & (F.col("n") >= max(NAME_LEAST, NAME_SHARE * total))).select("line").collect()
+    names = frozenset(r.line for r in known)
     held = counted.where("bucket = -1").groupBy("line").agg(F.sum("n").alias("n"), F.count_if(F.col("source") != "").alias("sources"))
     frequent = held.where((F.col("n") >= least) & (F.col("sources") >= FURNITURE_SOURCES)).select("line").collect()
-    furniture = frozenset(r.line for r in frequent if not has_slot(r.line) and not is_seed(r.line))
+    furniture = frozenset(r.line for r in frequent if not has_slot(r.line, names) and not is_seed(r.line))
     prose = _array(counted)
     sc = articles.sparkSession.sparkContext
-    first = sc.broadcast(Model(log_ratios(prose, np.zeros(BUCKETS)), furniture))
+    first = sc.broadcast(Model(log_ratios(prose, np.zeros(BUCKETS)), furniture, names))
 
     def suspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids, own = b["article_id"].tolist(), b["text"].tolist()
-            rows = [(ids[t], n, own[t].split("\n")[n - 1], c) for t, n, c in suspicious(own, first.value)]
-            yield pd.DataFrame(rows, columns=["article_id", "line_no", "text", "claimed"])
+            ids, own, sites = b["article_id"].tolist(), b["text"].tolist(), list(map(_site, b["source"]))
+            rows = [(ids[t], sites[t], n, own[t].split("\n")[n - 1], c, p) for t, n, c, p in suspicious(own, sites, first.value)]
+            yield pd.DataFrame(rows, columns=["article_id", "source", "line_no", "text", "claimed", "in_place"])
 
-    lines = materialize(texts.mapInPandas(suspect, "article_id bigint, line_no int, text string, claimed boolean"), "suspects")
-    claimed = _array(count_ngrams(lines.where("claimed").select("text", F.lit("").alias("source"))))
-    second = sc.broadcast(Model(log_ratios(np.maximum(0, prose - claimed), claimed), furniture))
+    lines = materialize(texts.mapInPandas(suspect, "article_id bigint, source string, line_no int, text string, claimed boolean, in_place boolean"), "suspects")
+    claimed = _array(count_ngrams(lines.where("claimed").select("text", "source")))
+    second = sc.broadcast(Model(log_ratios(np.maximum(0, prose - claimed), claimed), furniture, names))
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ids, numbers = b["article_id"].tolist(), b["line_no"].tolist()
-            rows = [(ids[k], numbers[k], kind, c) for k, _, kind, c in residue_lines(b["text"].tolist(), second.value)]
+            found = residue_lines(b["text"].tolist(), b["source"].tolist(), second.value)
+            rows = [(ids[k], numbers[k], kind, c) for k, _, kind, c in found]
+            decided = {k for k, *_ in found}
+            rows += [(ids[k], numbers[k], "page", 1.0) for k in np.flatnonzero(b["in_place"].to_numpy(dtype=bool)).tolist() if k not in decided]
             yield pd.DataFrame(rows, columns=["article_id", "line_no", "kind", "coverage"])
 
     return lines.mapInPandas(decide, "article_id bigint, line_no int, kind string, coverage double")
