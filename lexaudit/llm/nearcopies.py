@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from lexaudit.session import materialize
 
 #: Values of a sketch, and the chance by which a pair just at the threshold may fall short of the overlap asked for.
-K, LOSS = 40, 1e-5
+K, LOSS = 48, 1e-5
 #: Buckets of values, by whose counts values are ordered; rows of lists worked on together; the longest list compared
 #: whole; the longest list held by a task, beyond which its divisions are sent on as lists of their own.
 BUCKETS, HELD, WHOLE, LONG = 1 << 18, 200_000, 64, 400_000
@@ -406,7 +406,8 @@ def similar_classes(articles: DataFrame, threshold: float = 0.5, words: int = 3,
     members = materialize(made.select("id", "sig", "n").join(least, ["sig", "n"]).select("id", "rep"), "members")
     copies = members.where("id <> rep").select("id")
     found = materialize(candidates(made.join(copies, "id", "left_anti"), threshold, k), "candidates")
-    wanted = found.select(F.explode(F.array("a", "b")).alias("article_id")).distinct()
+    # written, so that its size is known before the texts are joined with it
+    wanted = materialize(found.select(F.explode(F.array("a", "b")).alias("article_id")).distinct(), "wanted")
     sets = full_sets(articles.join(wanted, "article_id", "left_semi"), words, least_words)
     one, two = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
