@@ -212,12 +212,10 @@ def any_of(text: Column, *names: str, mode: str = "regex", whole_words: bool = F
     return text.rlike(alternation(*names, mode=mode, whole_words=whole_words))
 
 
-def _tests(names: tuple[str, ...], mode: str, whole_words: bool) -> Column:
-    """An array constant of struct(s, p): stem and pattern of every pattern of the sets."""
-    every = [p for n in names for p in patterns(n, mode, whole_words)]
-    cut = "\x01"
-    stems, found = F.split(F.lit(cut.join(stem(p) for p in every)), cut), F.split(F.lit(cut.join(every)), cut)
-    return F.arrays_zip(stems.alias("s"), found.alias("p"))
+def _tests(t: Column, names: tuple[str, ...], mode: str, whole_words: bool) -> Column:
+    """An array of whether each pattern of the sets matches: its stem is looked for first. The patterns are constants, so
+    that each is compiled once a task."""
+    return F.array(*[t.contains(stem(p)) & t.rlike(p) if stem(p) else t.rlike(p) for n in names for p in patterns(n, mode, whole_words)])
 
 
 def hit_count(text: Column, *names: str, mode: str = "regex", whole_words: bool = False) -> Column:
@@ -225,7 +223,7 @@ def hit_count(text: Column, *names: str, mode: str = "regex", whole_words: bool
 
     A regular expression is tried only where the text holds its stem.
     """
-    return let(text, lambda t: F.size(F.filter(_tests(names, mode, whole_words), lambda x: t.contains(x["s"]) & F.rlike(t, x["p"]))))
+    return let(text, lambda t: F.size(F.filter(_tests(t, names, mode, whole_words), lambda x: x)))
 
 
 def stem(pattern: str) -> str:
@@ -243,7 +241,10 @@ def stem(pattern: str) -> str:
 
 def hits(text: Column, name: str) -> Column:
     """The patterns of a set that match, as an array in the set's order; empty for NULL."""
-    return let(text, lambda t: F.transform(F.filter(_tests((name,), "regex", False), lambda x: t.contains(x["s"]) & F.rlike(t, x["p"])), lambda x: x["p"]))
+    found = patterns(name)
+    names = F.array(*[F.lit(p) for p in found])
+    pairs = lambda t: F.arrays_zip(_tests(t, (name,), "regex", False).alias("hit"), names.alias("pattern"))
+    return let(text, lambda t: F.transform(F.filter(pairs(t), lambda x: x["hit"]), lambda x: x["pattern"]))
 
 
 # the same tests as SQL, for the queries' SQL

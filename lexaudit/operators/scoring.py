@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexaudit import lexicon
+from lexaudit import domains, lexicon  # noqa: F401 (domains adds its sets)
 from lexaudit.functions.text import word_count
 
 # Points of the tiered score.
@@ -14,6 +14,7 @@ POINTS = {"anchor": 40, "district": 30, "landmark": 35, "word": 20, "three": 40,
 WEIGHTS = {"keyword": 0.35, "credibility": 0.15, "geographic": 0.20, "recency": 0.15, "quality": 0.15}
 PLACE = r"\bbandung\b"
 LABOUR = ("labour_positive", "labour_negative", "labour_issue")
+WORK = ("work_positive", "work_negative", "work_issue")
 
 
 def _clamp(c: Column, low, high) -> Column:
@@ -21,22 +22,23 @@ def _clamp(c: Column, low, high) -> Column:
 
 
 def tiered(text: Column, host: Column, points: dict[str, int] = POINTS) -> Column:
-    """0-100: place (best tier), number of labour patterns, elsewhere and noise, credible host. text is lower case."""
+    """0-100: place (best tier), number of labour patterns, elsewhere and noise, credible host, by the standalone job's
+    whole words. text is lower case."""
     credible = host.rlike("(?:" + "|".join(d.replace(".", r"\.") for d in lexicon.CREDIBLE_DOMAINS) + ")")
     facts = F.struct(
-        lexicon.any_of(text, "labour_anchors", whole_words=True).alias("anchor"), lexicon.hit_count(text, *LABOUR, whole_words=True).alias("topic"), text.alias("text"),
+        lexicon.any_of(text, "work_anchors").alias("anchor"), lexicon.hit_count(text, *WORK).alias("topic"), text.alias("text"),
         F.coalesce(credible, F.lit(False)).alias("credible"),
     )
 
     def score(f: Column) -> Column:
         t, topic, anchor = f["text"], f["topic"], f["anchor"]
         place = (
-            F.when(anchor, points["anchor"]).when(lexicon.any_of(t, "labour_districts", whole_words=True), points["district"])
-            .when(lexicon.any_of(t, "labour_landmarks", whole_words=True), points["landmark"]).when(t.rlike(PLACE), points["word"]).otherwise(0)
+            F.when(anchor, points["anchor"]).when(lexicon.any_of(t, "work_districts"), points["district"])
+            .when(lexicon.any_of(t, "work_landmarks"), points["landmark"]).when(t.rlike(PLACE), points["word"]).otherwise(0)
         )
         labour = F.when(topic >= 3, points["three"]).when(topic == 2, points["two"]).when(topic == 1, points["one"]).otherwise(0)
-        elsewhere = F.when(lexicon.any_of(t, "labour_elsewhere", whole_words=True), F.when(anchor, points["both_places"]).otherwise(points["elsewhere"])).otherwise(0)
-        noise = F.when(lexicon.any_of(t, "labour_noise", whole_words=True) & (topic < 2), points["noise"]).otherwise(0)
+        elsewhere = F.when(lexicon.any_of(t, "work_elsewhere"), F.when(anchor, points["both_places"]).otherwise(points["elsewhere"])).otherwise(0)
+        noise = F.when(lexicon.any_of(t, "work_noise") & (topic < 2), points["noise"]).otherwise(0)
         extra = F.when(f["credible"], points["domain"]).otherwise(0) + F.when(anchor & (topic >= 1), points["title"]).otherwise(0)
         return _clamp(place + labour + elsewhere + noise + extra, 0, 100)
 

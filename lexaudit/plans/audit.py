@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexaudit import lexicon
+from lexaudit import domains, lexicon
 from lexaudit.functions import dates, htmlx, jsonx, text, urls
 from lexaudit.operators import dedup, fuzzy, rules, scoring, spans, verdict
 from lexaudit.registry import query
@@ -25,6 +25,7 @@ S_ALL = "lower(COALESCE(title, '') || ' ' || COALESCE(url, '') || ' ' || COALESC
 S_HOST = "lower(regexp_extract(COALESCE(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
 S_DOMAINS = lambda ds: "'(?:" + "|".join(d.replace(".", r"\.") for d in ds) + ")'"
 LAB = ("labour_positive", "labour_negative", "labour_issue")
+COLS, SQL = domains.Columns(), domains.Sql()
 
 
 def whole(d):
@@ -58,13 +59,13 @@ def lexicon_literal_mode(spark, d):
 
 
 def sql_tiered(t: str = "t", host: str = "h") -> str:
-    c = L.sql_count(t, *LAB, whole_words=True)
-    anchor = L.sql_any(t, "labour_anchors", whole_words=True)
+    c = L.sql_count(t, *scoring.WORK)
+    anchor = L.sql_any(t, "work_anchors")
     return (
-        f"greatest(0, least(100, CASE WHEN {anchor} THEN 40 WHEN {L.sql_any(t, 'labour_districts', whole_words=True)} THEN 30 WHEN {L.sql_any(t, 'labour_landmarks', whole_words=True)} THEN 35 "
+        f"greatest(0, least(100, CASE WHEN {anchor} THEN 40 WHEN {L.sql_any(t, 'work_districts')} THEN 30 WHEN {L.sql_any(t, 'work_landmarks')} THEN 35 "
         f"WHEN regexp_matches({t}, {SQ(scoring.PLACE)}) THEN 20 ELSE 0 END + CASE WHEN {c} >= 3 THEN 40 WHEN {c} = 2 THEN 30 WHEN {c} = 1 THEN 20 ELSE 0 END "
-        f"+ CASE WHEN {L.sql_any(t, 'labour_elsewhere', whole_words=True)} THEN CASE WHEN {anchor} THEN -15 ELSE -60 END ELSE 0 END "
-        f"+ CASE WHEN {L.sql_any(t, 'labour_noise', whole_words=True)} AND {c} < 2 THEN -25 ELSE 0 END + CASE WHEN regexp_matches({host}, {S_DOMAINS(L.CREDIBLE_DOMAINS)}) THEN 10 ELSE 0 END "
+        f"+ CASE WHEN {L.sql_any(t, 'work_elsewhere')} THEN CASE WHEN {anchor} THEN -15 ELSE -60 END ELSE 0 END "
+        f"+ CASE WHEN {L.sql_any(t, 'work_noise')} AND {c} < 2 THEN -25 ELSE 0 END + CASE WHEN regexp_matches({host}, {S_DOMAINS(L.CREDIBLE_DOMAINS)}) THEN 10 ELSE 0 END "
         f"+ CASE WHEN {anchor} AND {c} >= 1 THEN 10 ELSE 0 END))"
     )
 
@@ -187,46 +188,79 @@ def phenomena_score(spark, d):
     return a.select("article_id", (F.least(F.lit(50), 5 * n + 10 * h) + scoring.capped([(k, 3, 20)])).alias("score"))
 
 
-S_EXT = lambda e: f"regexp_matches(lower(url), '(?:{'|'.join(x.replace('.', chr(92) + '.') for x in e)})(?:\\?|$)')"
+S_HEAD = f"SELECT article_id, title, lower(COALESCE(title, '')) AS ti, lower(COALESCE(url, '')) AS u, lower(COALESCE(title, '') || ' ' || COALESCE(url, '')) AS t, lower(COALESCE(title, '') || ' ' || COALESCE(content, '')) AS body, content, url, {S_HOST} AS h FROM articles"
 
 
-@query("preflight_labour", f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN {S_EXT(L.EXTENSIONS)} THEN 'document' WHEN {L.sql_any('lower(title)', 'labour_title_stop')} THEN 'no news' WHEN {sql_tiered()} < 30 THEN 'low score' ELSE 'pass' END AS reason FROM (SELECT title, url, lower(COALESCE(title, '') || ' ' || COALESCE(url, '')) AS t, {S_HOST} AS h FROM articles)) GROUP BY reason")
+def heads(spark, d):
+    """Articles with what the jobs' rules look at: ti, u, t (title and url) and body (title and content), lower case."""
+    a = table(spark, d, "articles")
+    ti, u, c = (F.coalesce(F.col(x), F.lit("")) for x in ("title", "url", "content"))
+    joined = lambda x, y: F.lower(F.concat(x, F.lit(" "), y))
+    return a.select("article_id", "title", "url", "content", F.lower(ti).alias("ti"), F.lower(u).alias("u"), joined(ti, u).alias("t"), joined(ti, c).alias("body"))
+
+
+@query("preflight_labour", f"SELECT reason, count(*) AS n FROM (SELECT {domains.labour_preflight('ti', 'u', sql_tiered() + ' < 30', SQL)} AS reason FROM ({S_HEAD})) GROUP BY reason")
 def preflight_labour(spark, d):
-    a = table(spark, d, "articles").select("title", "url", F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("url", F.lit("")))).alias("t"))
-    reason = rules.first_reason([
-        (urls.is_document(F.col("url"), L.EXTENSIONS), "document"), (L.any_of(F.lower("title"), "labour_title_stop"), "no news"),
-        (scoring.tiered(F.col("t"), urls.host(F.col("url"))) < 30, "low score"),
-    ], "pass")
-    return rules.tally(a, reason)
+    low = scoring.tiered(F.col("t"), urls.host(F.col("url"))) < 30
+    return rules.tally(heads(spark, d), domains.labour_preflight(F.col("ti"), F.col("u"), low, COLS))
+
 
+def _preflight(domain):
+    return f"SELECT reason, count(*) AS n FROM (SELECT {domains.preflight(domain, 'ti', 'u', 't', SQL)} AS reason FROM ({S_HEAD})) GROUP BY reason"
 
-S_TRADE = f"({L.sql_any('t', 'trade_international')} OR ({L.sql_any('t', 'trade_domestic', 'trade_indicators')} AND {L.sql_any('t', 'trade_commodities')}))"
 
+def _lexical(domain):
+    return f"SELECT reason, count(*) AS n FROM (SELECT {domains.lexical(domain, 'body', SQL)} AS reason FROM ({S_HEAD})) GROUP BY reason"
 
-@query("preflight_trade", f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN {' OR '.join(f'contains(lower(title), {SQ(w)})' for w in L.TRADE_TITLE_STOP)} THEN 'no news' WHEN {S_EXT(L.TRADE_EXTENSIONS)} THEN 'document' WHEN {L.sql_any('t', 'labour_noise')} AND NOT ({L.sql_any('t', 'trade_anchors')} AND {S_TRADE}) THEN 'noise' WHEN {L.sql_any('t', 'labour_elsewhere')} AND NOT {L.sql_any('t', 'trade_anchors')} THEN 'elsewhere' ELSE 'pass' END AS reason FROM (SELECT title, url, lower(COALESCE(title, '') || ' ' || COALESCE(url, '')) AS t FROM articles)) GROUP BY reason")
+
+@query("preflight_trade", _preflight(domains.TRADE))
 def preflight_trade(spark, d):
-    a = table(spark, d, "articles").select("title", "url", F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("url", F.lit("")))).alias("t"))
-    t = F.col("t")
-    trade = L.any_of(t, "trade_international") | (L.any_of(t, "trade_domestic", "trade_indicators") & L.any_of(t, "trade_commodities"))
-    stop = sum((F.lower("title").contains(w).cast("int") for w in L.TRADE_TITLE_STOP), F.lit(0)) > 0
-    reason = rules.first_reason([
-        (stop, "no news"), (urls.is_document(F.col("url"), L.TRADE_EXTENSIONS), "document"),
-        (L.any_of(t, "labour_noise") & ~(L.any_of(t, "trade_anchors") & trade), "noise"), (L.any_of(t, "labour_elsewhere") & ~L.any_of(t, "trade_anchors"), "elsewhere"),
-    ], "pass")
-    return rules.tally(a, reason)
-
-
-@query("lexical_trade", f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN NOT {L.sql_any('t', 'trade_anchors', 'labour_districts')} THEN 'no place' WHEN {L.sql_any('t', 'labour_elsewhere')} AND NOT {L.sql_any('t', 'trade_anchors')} THEN 'elsewhere' WHEN {L.sql_any('t', 'labour_noise')} AND NOT ({L.sql_any('t', 'trade_anchors')} AND {S_TRADE}) THEN 'noise' WHEN {S_TRADE} THEN 'trade' ELSE 'poor' END AS reason FROM ({S_SCORED})) GROUP BY reason")
+    return rules.tally(heads(spark, d), domains.preflight(domains.TRADE, F.col("ti"), F.col("u"), F.col("t"), COLS))
+
+
+@query("preflight_nonprofit", _preflight(domains.NONPROFIT))
+def preflight_nonprofit(spark, d):
+    return rules.tally(heads(spark, d), domains.preflight(domains.NONPROFIT, F.col("ti"), F.col("u"), F.col("t"), COLS))
+
+
+@query("lexical_trade", _lexical(domains.TRADE))
 def lexical_trade(spark, d):
-    a = table(spark, d, "articles")
-    t = whole(a)
-    anchor = L.any_of(t, "trade_anchors")
-    trade = L.any_of(t, "trade_international") | (L.any_of(t, "trade_domestic", "trade_indicators") & L.any_of(t, "trade_commodities"))
-    reason = rules.first_reason([
-        (~L.any_of(t, "trade_anchors", "labour_districts"), "no place"), (L.any_of(t, "labour_elsewhere") & ~anchor, "elsewhere"),
-        (L.any_of(t, "labour_noise") & ~(anchor & trade), "noise"), (trade, "trade"),
-    ], "poor")
-    return rules.tally(a, reason)
+    return rules.tally(heads(spark, d), domains.lexical(domains.TRADE, F.col("body"), COLS))
+
+
+@query("lexical_nonprofit", _lexical(domains.NONPROFIT))
+def lexical_nonprofit(spark, d):
+    return rules.tally(heads(spark, d), domains.lexical(domains.NONPROFIT, F.col("body"), COLS))
+
+
+#: The least characters of a text the trade and non-profit jobs go on with.
+LEAST_CHARS = 150
+
+
+def _pipeline_sql(domain):
+    kept = ", ".join(f"'{k}'" for k in domains.KEPT)
+    return (
+        f"SELECT article_id, reason FROM (SELECT *, {domains.lexical(domain, 'body', SQL)} AS reason FROM (SELECT * FROM ({S_HEAD}) WHERE url IS NOT NULL AND length(content) >= {LEAST_CHARS} "
+        f"AND NOT EXISTS (SELECT 1 FROM visited_urls v WHERE v.url = articles.url)) WHERE {domains.preflight(domain, 'ti', 'u', 't', SQL)} = 'pass') WHERE reason IN ({kept})"
+    ).replace("articles.url)", "x.url)").replace(f"({S_HEAD}) WHERE url", f"({S_HEAD}) x WHERE x.url")
+
+
+def _pipeline(spark, d, domain):
+    """Unseen pages that pass the rules on title and url, with the reason by which their text is kept."""
+    a = heads(spark, d).where("url IS NOT NULL").where(F.length("content") >= LEAST_CHARS)
+    fresh = dedup.unseen(a, table(spark, d, "visited_urls"), "url")
+    passed = fresh.where(domains.preflight(domain, F.col("ti"), F.col("u"), F.col("t"), COLS) == "pass")
+    return passed.select("article_id", domains.lexical(domain, F.col("body"), COLS).alias("reason")).where(F.col("reason").isin(*domains.KEPT))
+
+
+@query("pipeline_trade", _pipeline_sql(domains.TRADE))
+def pipeline_trade(spark, d):
+    return _pipeline(spark, d, domains.TRADE)
+
+
+@query("pipeline_nonprofit", _pipeline_sql(domains.NONPROFIT))
+def pipeline_nonprofit(spark, d):
+    return _pipeline(spark, d, domains.NONPROFIT)
 
 
 @query("mime_filter", "SELECT count(*) AS n FROM (SELECT CASE WHEN article_id % 4 = 0 THEN 'application/pdf' WHEN article_id % 4 = 1 THEN 'application/xhtml+xml' WHEN article_id % 4 = 2 THEN 'text/html' END AS ct FROM articles) WHERE NOT (contains(lower(COALESCE(ct, '')), 'application/') AND NOT contains(lower(COALESCE(ct, '')), 'xhtml'))")
