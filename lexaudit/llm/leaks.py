@@ -1,9 +1,10 @@
 """Evaluation texts in training text (problem 9).
 
-Every run of SEED words of a test item is a seed; seeds that occur in many items are common lead-ins and count only
-beside rarer ones. Seeds are sought in the stream of a document's letters and digits, so that case, punctuation,
-markup, line breaks and words broken by invisible characters or line ends make no difference. Around the seeds of a
-document, Smith-Waterman aligns its words with the item's, which scores copies with edits too.
+Every run of SEED words of a test item that few items share is a seed; so is the rarest of each window of WINDOW words, so
+that no run of that length goes without one, common lead-ins included. Seeds join documents to items: they are sought in
+the stream of a document's letters and digits, so that case, punctuation, markup, line breaks and words broken by
+invisible characters or line ends make no difference. Around the seeds of a document, Smith-Waterman aligns its words with
+the item's, which scores copies with edits too; a score that a run could have is followed by the exact count of its words.
 The test items are the stated query set: they are broadcast in blocks of bounded size.
 """
 
@@ -12,26 +13,27 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a seed. A run of r words holds r - SEED + 1 of them.
-SEED = 5
-#: A seed in more items than this is common.
-COMMON = 12
+#: Words of a seed, and of the windows of each of which one seed at least is sought.
+SEED, WINDOW = 5, 10
+#: A seed that no more items share is rare, and sought as well.
+RARE = 3
 #: Characters of item text in a block that is sent to the workers.
 BLOCK_CHARS = 8_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 _INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿]")
 _BROKEN = re.compile(r"(?<=[^\W_])[-‐‑¬][ \t]*\r?\n[\s>|*#]*(?=[^\W_])")
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>")
-_LINK = re.compile(r"\]\([^()\s]*\)")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
+_LINK = re.compile(r"\]\((?:[^()\s]|\([^()\s]*\))*\)")
 _WORD = re.compile(r"[^\W_]+")
 _NOT_WORD = re.compile(r"[\W_]+")
 
@@ -47,8 +49,17 @@ def visible(text: str) -> str:
     return _BROKEN.sub("", _INVISIBLE.sub("", text)).lower()
 
 
+def rare_seeds(spread: list[int]) -> list[int]:
+    """The places of the seeds to seek, of which spread tells how many items have each: all rare ones, and the
+    rarest of every window, the first of equals."""
+    width = WINDOW - SEED + 1
+    windows = range(max(1, len(spread) - width + 1)) if spread else ()
+    rarest = {min(range(w, min(w + width, len(spread))), key=lambda k: (spread[k], k)) for w in windows}
+    return sorted(rarest | {k for k, n in enumerate(spread) if n <= RARE})
+
+
 class ItemIndex:
-    """Seeds of a block of items, as an automaton over letter streams."""
+    """The rare seeds of a block of items, as an automaton over letter streams."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         import ahocorasick
@@ -56,52 +67,64 @@ class ItemIndex:
         self.words = {i: _WORD.findall(visible(t)) for i, t in items}
         self.numbers = {i: {x: n for n, x in enumerate(dict.fromkeys(w))} for i, w in self.words.items()}
         self.coded = {i: [self.numbers[i][x] for x in w] for i, w in self.words.items()}
+        self.streams = {i: "".join(w) for i, w in self.words.items()}
+        #: where words begin in an item's stream, and its length
+        self.marks = {i: list(accumulate(map(len, w), initial=0)) for i, w in self.words.items()}
+        own = {i: ["".join(w[k : k + SEED]) for k in range(len(w) - SEED + 1)] for i, w in self.words.items()}
+        spread = Counter(s for v in own.values() for s in set(v))
         at: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for i, w in self.words.items():
-            for k in range(len(w) - SEED + 1):
-                at["".join(w[k : k + SEED])].append((i, k))
-        self.spread = {s: len({i for i, _ in v}) for s, v in at.items()}
+        for i, v in own.items():
+            for k in rare_seeds([spread[s] for s in v]):
+                at[v[k]].append((i, k))
         self.automaton = ahocorasick.Automaton()
         for s, v in at.items():
-            self.automaton.add_word(s, (s, v))
+            self.automaton.add_word(s, (len(s), v))
         if at:
             self.automaton.make_automaton()
         self.empty = not at
 
-    def hits(self, text: str):
-        """Seeds found in a text: item -> list of (place in the item, from, to in the stream)."""
-        stream = _NOT_WORD.sub("", visible(text))
+    def hits(self, stream: str) -> dict[int, list[tuple[int, int, int]]]:
+        """Seeds found in a stream: item -> list of (place in the item, from, to in the stream)."""
         found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        rare = set()
         if not self.empty:
-            for end, (s, v) in self.automaton.iter(stream):
+            for end, (size, v) in self.automaton.iter(stream):
                 for i, k in v:
-                    found[i].append((k, end + 1 - len(s), end + 1))
-                    if self.spread[s] <= COMMON:
-                        rare.add(i)
-        return {i: h for i, h in found.items() if i in rare or len(h) > SEED}
+                    found[i].append((k, end + 1 - size, end + 1))
+        return found
+
+
+def _alike(a: str, i: int, b: str, j: int, most: int, step: int) -> int:
+    """How many characters, most at most, are the same in a from i and in b from j on, going by step 1, or before them, by -1."""
+    most = min(most, len(a) - i, len(b) - j) if step > 0 else min(most, i, j)
+    part = lambda s, k, n: s[k : k + n] if step > 0 else s[k - n : k]
+    lo, hi = 0, most
+    while lo < hi:  # what is alike at some length is so at any lesser one
+        mid = (lo + hi + 1) // 2
+        if part(a, i, mid) == part(b, j, mid):
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
 
 
-def longest_run(item: list[str], hits: list[tuple[int, int, int]], starts: set[int], ends: set[int]) -> int:
+def longest_run(index: ItemIndex, item: int, stream: str, hits: list[tuple[int, int, int]], starts: set[int], ends: set[int]) -> int:
     """The most consecutive words of the item that stand in the stream without anything between them.
 
-    hits are chained where one begins a word later in item and stream; the chain's first and last word must begin and
-    end where words of the document do, else they don't count.
+    Each hit is followed to both sides as far as the streams agree; a run's first and last word must begin and end where
+    words of the document do, else they don't count.
     """
-    at = {(k, a): b for k, a, b in hits}
-    best = 0
-    for k, a in sorted(at):
-        if k and (k - 1, a - len(item[k - 1])) in at:
-            continue  # not the first of its chain
-        marks = [a]
-        for j in range(SEED):
-            marks.append(marks[-1] + len(item[k + j]))
-        n = 1
-        while (k + n, a + sum(map(len, item[k : k + n]))) in at:
-            marks.append(marks[-1] + len(item[k + SEED + n - 1]))
-            n += 1
-        first = next((x for x, m in enumerate(marks) if m in starts), len(marks))
-        last = next((x for x in range(len(marks) - 1, -1, -1) if marks[x] in ends), 0)
+    own, marks = index.streams[item], index.marks[item]
+    best, done = 0, {}
+    for k, a, b in sorted(hits, key=lambda x: x[1]):
+        shift = a - marks[k]
+        if done.get(shift, -1) >= b:
+            continue  # inside a stretch that was followed from an earlier hit
+        right = b + _alike(own, marks[k + SEED], stream, b, len(own), 1)
+        left = a - _alike(own, marks[k], stream, a, len(own), -1)
+        done[shift] = right
+        inside = [n for n in range(bisect_left(marks, left - shift), bisect_right(marks, right - shift))]
+        first = next((n for n in inside if marks[n] + shift in starts), len(marks))
+        last = next((n for n in reversed(inside) if marks[n] + shift in ends), 0)
         best = max(best, last - first)
     return best
 
@@ -142,11 +165,13 @@ def _leaks_of(docs: list[tuple[int, str]], index: ItemIndex) -> list[tuple[int,
     """(document, item, seeds, score, run) of a batch of documents."""
     pairs, owners, out = [], [], []
     for doc, text in docs:
-        hits = index.hits(text)
+        seen = visible(text)
+        stream = _NOT_WORD.sub("", seen)
+        hits = index.hits(stream)
         if not hits:
             continue
         starts, ends, words, place, p = set(), set(), [], [], 0
-        for w in _WORD.findall(visible(text)):
+        for w in _WORD.findall(seen):
             starts.add(p)
             place.append(p)
             words.append(w)
@@ -168,7 +193,7 @@ def _leaks_of(docs: list[tuple[int, str]], index: ItemIndex) -> list[tuple[int,
                 hi = bisect_left(place, g[-1][2]) + len(item)
                 pairs.append((index.coded[i], [numbers.get(w, -1) for w in words[lo:hi]]))
                 owners.append(len(out))
-            out.append([doc, i, len({k for k, _, _ in h}), 0, longest_run(item, h, starts, ends)])
+            out.append([doc, i, len({k for k, _, _ in h}), 0, longest_run(index, i, stream, h, starts, ends)])
     order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))  # alike in length, so that little is padded
     for s in range(0, len(order), TOGETHER):
         some = order[s : s + TOGETHER]
@@ -178,7 +203,7 @@ def _leaks_of(docs: list[tuple[int, str]], index: ItemIndex) -> list[tuple[int,
 
 
 def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_seeds, score, run of every document with rare seeds of an item.
+    """doc_id, item_id, n_seeds, score, run of every document with seeds of an item.
 
     score is the best Smith-Waterman score around the seeds, run the most consecutive words of the item that stand in
     the document. Rows with NULL id or text have none; documents with equal ids count as one, with the greatest

@@ -1,10 +1,10 @@
 """Lines repeated across one source's documents (problem 5).
 
-Lines become identifiers; the identifiers that enough documents of a source hold are kept, every other line ends a
-block. What remains of the concatenated documents are short runs, equal ones pre-aggregated. Their suffixes, sorted
-within source and first line, are a suffix array; a pass along it with the common prefixes of neighbours finds the
-blocks of one or more lines that span many documents, holding no more than the stack of open prefixes. The lines of
-these blocks are deleted.
+Lines become identifiers; those that too few documents of a source hold to be in any repeated block end a run. What
+remains of the concatenated documents are short runs. Their suffixes, sorted within source and first line, are a suffix
+array; a pass along it with the common prefixes of neighbours counts the documents of every block of one or more lines,
+holding no more than the stack of open prefixes, and keeps those that span many documents. The lines of these blocks are
+deleted.
 """
 
 from __future__ import annotations
@@ -31,8 +31,12 @@ def document_lines(articles: DataFrame) -> DataFrame:
     return articles.select("article_id", source_key("source").alias("source_key"), keyed.alias("lines")).where("source_key IS NOT NULL AND article_id IS NOT NULL")
 
 
-def frequent_lines(lines: DataFrame, least_docs: int, least_pct: float) -> DataFrame:
-    """source_key, key, n_docs, least (documents it takes), of lines in enough documents of their source.
+#: Lines of a suffix; longer blocks are found as their stretches of so many lines.
+LONGEST = 256
+
+
+def shared_lines(lines: DataFrame, least_docs: int, least_pct: float) -> DataFrame:
+    """source_key, key, least (documents it takes), of lines in least_docs documents of their source: those of all blocks are.
 
     Counts are combined before the shuffle, so that a source with most of the rows is counted in all tasks.
     """
@@ -40,29 +44,43 @@ def frequent_lines(lines: DataFrame, least_docs: int, least_pct: float) -> DataF
     counts = lines.select("source_key", F.explode(F.array_distinct("lines.key")).alias("key")).groupBy("source_key", "key").agg(F.count("*").alias("n_docs"))
     some = counts.where(F.col("n_docs") >= least_docs).join(totals, "source_key")
     least = F.greatest(F.lit(least_docs), F.ceil(F.col("total") * least_pct / 100 - 1e-9)).cast("bigint")
-    return some.select("source_key", "key", "n_docs", least.alias("least")).where("n_docs >= least")
+    return some.select("source_key", "key", least.alias("least"))
 
 
-def line_runs(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """article_id, source_key, line_nos, keys of each run of frequent lines with none but letterless lines between."""
+def line_runs(lines: DataFrame, shared: DataFrame) -> DataFrame:
+    """article_id, source_key, line_nos, keys of each run of shared lines with none but letterless lines between."""
     each = lines.select("article_id", "source_key", F.posexplode("lines").alias("place", "line")).select("article_id", "source_key", "place", "line.line_no", "line.key")
-    held = each.join(frequent.select("source_key", "key"), ["source_key", "key"])
+    held = each.join(shared.select("source_key", "key"), ["source_key", "key"])
     # places less their rank are equal along a run
     rank = F.row_number().over(Window.partitionBy("article_id").orderBy("place"))
     runs = held.withColumn("run", F.col("place") - rank).groupBy("article_id", "source_key", "run").agg(F.array_sort(F.collect_list(F.struct("line_no", "key"))).alias("r"))
     return runs.select("article_id", "source_key", F.col("r.line_no").alias("line_nos"), F.col("r.key").alias("keys"))
 
 
-def repeated_blocks(runs: DataFrame, frequent: DataFrame) -> DataFrame:
+def _common(a, b):
+    """How many elements two arrays begin with in common."""
+    both = F.least(F.size(a), F.size(b))
+    at = F.array_position(F.zip_with(F.slice(a, F.lit(1), both), F.slice(b, F.lit(1), both), lambda x, y: x != y), True)
+    return F.when(at > 0, at.cast("int") - 1).otherwise(both)
+
+
+def repeated_blocks(runs: DataFrame, shared: DataFrame) -> DataFrame:
     """source_key, block (array of keys), n_docs of every block of lines that spans enough documents of its source.
 
-    A block is reported with the longest common continuation of its occurrences. A document with a block in several
-    continuations counts once for each.
+    A block is reported with the longest common continuation of its occurrences; a document counts once, however often and
+    with whatever continuations it has the block: of its own suffixes, each but the first takes one off what it has in
+    common with the one before.
     """
     n = F.size("keys")
-    suffixes = runs.select("article_id", "source_key", F.explode(F.transform(F.sequence(F.lit(1), n), lambda i: F.slice("keys", i, n))).alias("suffix")).distinct()
-    weighed = suffixes.groupBy("source_key", "suffix").agg(F.count("*").alias("w")).withColumn("head", F.get("suffix", F.lit(0)))
-    least = frequent.select("source_key", F.col("key").alias("head"), "least")
+    suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.slice("keys", i, F.least(n - i + 1, F.lit(LONGEST))))
+    own = runs.groupBy("article_id", "source_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(suffixes)))).alias("own"))
+    # an article_id that several sources hold counts in each
+    many = F.size("own")
+    less = F.transform(F.sequence(F.lit(1), many), lambda i: F.when(i > 1, F.slice(F.get("own", i - 1), F.lit(1), _common(F.get("own", i - 2), F.get("own", i - 1)))).otherwise(F.array().cast("array<bigint>")))
+    rows = own.select("source_key", F.inline(F.arrays_zip(F.col("own").alias("suffix"), less.alias("less"))))
+    weighed = rows.select("source_key", F.inline(F.array(F.struct(F.col("suffix"), F.lit(1).alias("w")), F.struct(F.col("less").alias("suffix"), F.lit(-1).alias("w")))))
+    weighed = weighed.where("size(suffix) > 0").groupBy("source_key", "suffix").agg(F.sum("w").alias("w")).withColumn("head", F.get("suffix", F.lit(0)))
+    least = shared.select("source_key", F.col("key").alias("head"), "least")
     ordered = weighed.join(least, ["source_key", "head"]).repartition("source_key", "head").sortWithinPartitions("source_key", "head", "suffix")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,20 +132,22 @@ def repeated_lines(articles: DataFrame, least_docs: int = 4, least_pct: float =
     Enough are least_docs documents that are at least least_pct percent of all rows of the source. Lines are the same
     if their letters are, without case. NULL content has no lines but counts as a row. Empty tables give no rows.
     """
-    lines = document_lines(articles)
-    frequent = materialize(frequent_lines(lines, least_docs, least_pct), "frequent")
-    runs = materialize(line_runs(lines, frequent), "runs")
-    inside = repeated_blocks(runs, frequent).select("source_key", F.explode("block").alias("key")).distinct()
+    runs, shared = _runs(articles, least_docs, least_pct)
+    inside = repeated_blocks(runs, shared).select("source_key", F.explode("block").alias("key")).distinct()
     each = runs.select("article_id", "source_key", F.inline(F.arrays_zip(F.col("line_nos").alias("line_no"), F.col("keys").alias("key"))))
     return each.join(inside, ["source_key", "key"], "left_semi").select("article_id", "line_no")
 
 
-def block_report(articles: DataFrame, least_docs: int = 4, least_pct: float = 3.0) -> DataFrame:
-    """source_key, n_lines, n_docs of the repeated blocks of every source."""
+def _runs(articles: DataFrame, least_docs: int, least_pct: float) -> tuple[DataFrame, DataFrame]:
     lines = document_lines(articles)
-    frequent = materialize(frequent_lines(lines, least_docs, least_pct), "frequent")
-    blocks = repeated_blocks(line_runs(lines, frequent), frequent)
-    return blocks.select("source_key", F.size("block").alias("n_lines"), "n_docs")
+    shared = materialize(shared_lines(lines, least_docs, least_pct), "shared")
+    return materialize(line_runs(lines, shared), "runs"), shared
+
+
+def block_report(articles: DataFrame, least_docs: int = 4, least_pct: float = 3.0) -> DataFrame:
+    """source_key, first_key (of its first line), n_lines, n_docs of the repeated blocks of every source."""
+    blocks = repeated_blocks(*_runs(articles, least_docs, least_pct))
+    return blocks.select("source_key", F.get("block", F.lit(0)).alias("first_key"), F.size("block").alias("n_lines"), "n_docs")
 
 
 def without_lines(articles: DataFrame, found: DataFrame) -> DataFrame:

@@ -101,8 +101,9 @@ _SURE = re.compile(rf"\{{\{{\s*({_N})\s*\}}\}}|\$\{{\s*({_N})\s*\}}|%%\s*({_N})\
 #: Marks that stand for slots only around a name that stands between sure marks elsewhere in the corpus, or one with an
 #: underscore or full stop in it.
 _LIKELY = re.compile(rf"(?<!\w)(?:\{{\s*({_N})\s*\}}|\[\s*({_N})\s*\]|<\s*({_N})\s*>|\$({_N})\$|#({_N})#|%({_N})%)(?!\w)")
-#: Of these, those that are no words in any writing.
-_PRINTED = re.compile(r"(?<![\w.])(?:NaN|\[object Object\])(?![\w.])")
+#: Of slots and missing values, those that no other writing has, whatever the models say: the texts' languages quote by
+#: other marks than «».
+_PRINTED = re.compile(rf"(?<![\w.])(?:NaN|\[object Object\])(?![\w.])|\{{\{{\s*{_N}\s*\}}\}}|\$\{{\s*{_N}\s*\}}|%%\s*{_N}\s*%%|@@\s*{_N}\s*@@|<%=?\s*{_N}\s*%>|«[a-z_.]+»")
 _MARKS = re.compile(r"\{\{|\$\{|%%|@@|\[\[|<%|«|__|\{%")
 #: What languages print for a missing value, and a failed slot leaves inside a sentence.
 _FAILED = re.compile(r"(?<![\w.])(?:undefined|null|nan|none|\[object object\])(?![\w.])", re.I)
@@ -202,7 +203,7 @@ def log_ratios(prose: np.ndarray, residue: np.ndarray) -> np.ndarray:
 
 
 #: A line of at most so many characters that this share of all texts and several sources hold may be furniture of the
-#: sites, not residue: a template that fails often fails at its own site. Slots, fillers and notices never are furniture.
+#: sites: it is residue only if it is like known residue, not for being unlike prose, and takes no part in fitting it.
 #: Only texts of some length count: a notice in a page's place stands alone or nearly so.
 FURNITURE_CHARS, FURNITURE_SHARE, FURNITURE_LEAST, FURNITURE_TEXT, FURNITURE_SOURCES = 80, 0.005, 4, 500, 2
 
@@ -224,24 +225,6 @@ def _site(source: str) -> str:
     return source.split(".")[0]
 
 
-def _words(line: str) -> str:
-    return f" {' '.join(re.findall(r'[^\W_]+', line))} "
-
-
-_SEEDS = frozenset(Lines([FILLER + NOTICES]).canonical)
-_SEED_WORDS = sorted({_words(x) for x in _SEEDS} - {"  "})
-
-
-def is_seed(line: str) -> bool:
-    """Whether a line in canonical form is a filler or notice of the seeds, holds one of several words, or is three words
-    or more of one."""
-    words = _words(line)
-    if line in _SEEDS or words in _SEED_WORDS:
-        return True
-    n = words.count(" ") - 1
-    return any(x in words for x in _SEED_WORDS if x.count(" ") > 2) or n > 2 and any(words in x for x in _SEED_WORDS)
-
-
 def count_ngrams(texts: DataFrame) -> DataFrame:
     """bucket, line, source, n: counts of n-grams over all texts(text, source), the texts of each source that hold each
     short line (bucket -1), the texts (bucket -2), and the texts with each
@@ -277,9 +260,9 @@ FREER = 0.5
 PRIOR = 5
 
 
-def line_means(lines: Lines, ratios: np.ndarray) -> np.ndarray:
-    """The mean log ratio of each line, drawn towards 0 where the line is short."""
-    row = np.repeat((lines.sizes < WINDOW).astype(np.int64), lines.sizes)
+def line_means(lines: Lines, ratios: np.ndarray, known: bool = False) -> np.ndarray:
+    """The mean log ratio of each line, drawn towards 0 where the line is short; `known`: novelty counts for no line."""
+    row = np.repeat(np.where((lines.sizes < WINDOW) | known, 1, 0), lines.sizes)
     sums = np.concatenate(([0.0], np.cumsum(ratios[row, lines.grams], dtype=np.float64)))
     return (sums[lines.starts[1:]] - sums[lines.starts[:-1]]) / (lines.sizes + PRIOR)
 
@@ -310,13 +293,14 @@ def residue_lines(texts: list[str], sites: list[str], model: Model) -> list[tupl
     slots = _covered(lines, sums, SLOT_WINDOW, SLOT_RATIO) > 0
     slots |= short & (line_means(lines, ratios) > SLOT_RATIO)
     odd = {k for k, t in enumerate(texts) if _PRINTED.search(t)}
+    known = line_means(lines, ratios, True)
     out = []
     for k in np.flatnonzero((cover >= COVER) | slots | np.isin(lines.text, list(odd))):
         t, number = lines.text[k], lines.number[k]
         line = texts[t].split("\n")[number - 1]
+        if lines.canonical[k] in model.furniture and known[k] <= RATIO:
+            cover[k] = 0.0  # what pages of several sites have in common isn't residue for being unlike prose
         slot = has_slot(line, model.names) if slots[k] or cover[k] >= COVER else bool(_PRINTED.search(line))
-        if lines.canonical[k] in model.furniture and not slot:
-            continue
         if cover[k] >= COVER:
             out.append((t, number, "line", float(cover[k])))
         elif slot:
@@ -353,8 +337,7 @@ def suspicious(texts: list[str], sites: list[str], model: Model) -> list[tuple[i
     own = np.array([x not in model.furniture for x in lines.canonical])
     in_place = _in_place(lines, means, own)
     hot |= in_place
-    keep = lambda k: own[k] or has_slot(texts[lines.text[k]].split("\n")[lines.number[k] - 1], model.names)
-    return [(lines.text[k], lines.number[k], bool(means[k] > CLAIM or in_place[k]), bool(in_place[k])) for k in np.flatnonzero(hot) if keep(k)]
+    return [(lines.text[k], lines.number[k], bool(means[k] > CLAIM and own[k] or in_place[k]), bool(in_place[k])) for k in np.flatnonzero(hot)]
 
 
 def _sure_names(text: str) -> set[str]:
@@ -389,7 +372,7 @@ def find_residue(articles: DataFrame) -> DataFrame:
     names = frozenset(r.line for r in known)
     held = counted.where("bucket = -1").groupBy("line").agg(F.sum("n").alias("n"), F.count_if(F.col("source") != "").alias("sources"))
     frequent = held.where((F.col("n") >= least) & (F.col("sources") >= FURNITURE_SOURCES)).select("line").collect()
-    furniture = frozenset(r.line for r in frequent if not has_slot(r.line, names) and not is_seed(r.line))
+    furniture = frozenset(r.line for r in frequent if not has_slot(r.line, names))
     prose = _array(counted)
     sc = articles.sparkSession.sparkContext
     first = sc.broadcast(Model(log_ratios(prose, np.zeros(BUCKETS)), furniture, names))

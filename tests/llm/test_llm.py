@@ -164,13 +164,24 @@ def test_blocks_and_cleaning(spark):
     rows = [{"id": i, "source": "s", "content": f"awal {'abcdefghij'[i]}\nsatu\ndua\ntiga\nakhir {'klmnopqrst'[i]}"} for i in range(10)]
     a = articles(spark, rows)
     lines = repeats.document_lines(a)
-    frequent = repeats.frequent_lines(lines, 4, 3)
-    blocks = repeats.repeated_blocks(repeats.line_runs(lines, frequent), frequent).collect()
+    shared = repeats.shared_lines(lines, 4, 3)
+    blocks = repeats.repeated_blocks(repeats.line_runs(lines, shared), shared).collect()
     assert max(len(b.block) for b in blocks) == 3 and all(b.n_docs == 10 for b in blocks)
     kept = repeats.without_lines(a, repeats.repeated_lines(a)).collect()
     assert {r.content for r in kept} == {f"awal {'abcdefghij'[i]}\nakhir {'klmnopqrst'[i]}" for i in range(10)}
 
 
+def test_blocks_count_documents_once(spark):
+    # a block of two lines in four documents, each of which has it twice with other lines behind it
+    texts = ["satu\ndua\ntiga\nsela {}\nsatu\ndua\nempat".format("abcd"[i] * 9) for i in range(4)]
+    a = articles(spark, [{"id": i, "source": "s", "content": x} for i, x in enumerate(texts)] + [{"id": 9, "source": "s", "content": None}])
+    blocks = repeats.block_report(a).collect()
+    assert blocks and {b.n_docs for b in blocks} == {4}
+    # five of 200 documents are enough of them, but no three percent
+    some = [{"id": i, "source": "s", "content": "satu\ndua" if i < 5 else "isi " + "abcdefghij"[i % 10] * (i + 1)} for i in range(200)]
+    assert repeats.repeated_lines(articles(spark, some)).count() == 0
+
+
 # problem 7
 
 
@@ -258,14 +269,33 @@ def test_leaks(spark):
     w = ITEM.split()
     docs = [
         (1, "Awal. " + ITEM + " akhir."), (2, " ".join(w[2:12])), (3, " ".join(w[2:11]) + " lain"), (4, ITEM.upper().replace(" ", "\xa0")), (5, " ".join(w[:14]).replace("mengasuransikan", "menga-\n> suransikan").replace("jati", "ja­ti")),
-        (6, "<p>" + " <b>".join(w[:11]) + "</b>"), (7, None), (8, ""), (9, "xx" + " ".join(w[:10])), (10, " ".join(w[:5] + ["beda"] + w[5:9])),
+        (6, "<p>" + " <b>".join(w[:11]) + "</b>"), (7, None), (8, ""), (9, "xx" + " ".join(w[:10])), (11, " ".join(w[:6]) + f' <a href="/{"x" * 300}">' + " ".join(w[6:11]) + "</a>"), (12, "[" + " ".join(w[:5]) + "](https://a.example/b_(c)) " + " ".join(w[5:11])), (10, " ".join(w[:5] + ["beda"] + w[5:9])),
     ]
     d = spark.createDataFrame(docs, "doc_id bigint, text string")
     items = spark.createDataFrame([(1, ITEM), (2, "terlalu pendek"), (3, None), (None, ITEM)], "item_id bigint, text string")
-    assert sorted((r.doc_id, r.item_id) for r in leaks.leaked(d, items).collect()) == [(1, 1), (2, 1), (4, 1), (5, 1), (6, 1)]
+    assert sorted((r.doc_id, r.item_id) for r in leaks.leaked(d, items).collect()) == [(1, 1), (2, 1), (4, 1), (5, 1), (6, 1), (11, 1), (12, 1)]
     assert leaks.leaked(d, items.where("item_id = 99")).count() == 0
 
 
+def test_alignment_finds_edited_copies(spark):
+    w = ITEM.split()
+    edited = " ".join(w[:7] + ["sekitar"] + w[7:13] + ["kotak"] + w[14:])
+    d = spark.createDataFrame([(1, "Kata mereka, " + edited), (2, " ".join(w[:6]) + " lain sekali dari semua itu"), (3, "tanpa kesamaan sama sekali dengan soal itu")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    found = {r.doc_id: r for r in leaks.find_leaks(d, items).collect()}
+    assert set(found) == {1, 2} and found[1].run < 10 and found[1].score >= 2 * 15 > found[2].score
+
+
+def test_runs_against_brute_force():
+    rnd = random.Random(4)
+    items = [(i, " ".join(rnd.choice("satu dua tiga empat lima".split()) for _ in range(25))) for i in range(12)]
+    index = leaks.ItemIndex(items)
+    docs = [(k, " ".join(rnd.choice("satu dua tiga empat lima".split()) for _ in range(15)) + " " + " ".join(dict(items)[k % 12].split()[k % 9 : k % 9 + 6 + k % 8])) for k in range(80)]
+    got = {(a, b) for a, b, _, _, run in leaks._leaks_of(docs, index) if run >= 10}
+    has = lambda t, x: any(f" {' '.join(x[k : k + 10])} " in f" {t} " for k in range(len(x) - 9))
+    assert got == {(k, i) for k, t in docs for i, x in items if has(t, x.split())} and got
+
+
 def test_alignment_scores():
     def plain(a, b):
         h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
