@@ -3,9 +3,9 @@
 A page's text is a tree: the body, sections of neighbouring lines of one kind, lines, and the segments of lines that
 separators make. Every node has a composite text density: characters per tag, adjusted by how much of the text is link
 text. What is link text is read off the whole corpus (segments of menus, lines that pages share) and off the form of
-the text (prompts, notices, credits, headlines of other stories). Densities are summed up over sections; the run of
-sections with the greatest sum above the body's own density is the main body, and of its lines those that are dense, or
-stand inside it without link text, are kept.
+the text (headlines of other stories). Densities are summed up over sections; the run of sections with the greatest sum
+is the main body. Its core are the lines at or above the threshold of the path from the body to it; all of its lines
+from the first to the last of them that are no link text are the story.
 """
 
 from __future__ import annotations
@@ -21,39 +21,10 @@ from pyspark.sql import functions as F
 
 from lexaudit.session import materialize, source_key
 
-# Wordings of what stands around stories. Matched on lower-cased lines of at most CUE_WORDS words.
-CUE_WORDS = 20
-CUES = [
-    # where one is, and the way to other pages
-    r"^(?:home|beranda|depan)\s*[/>»|:]", r"^anda di sini\b", r"» ?kabar terbaru$", r"^baca (?:juga|selengkapnya|pula)\b", r"^lihat (?:juga|semua)\b", r"^simak (?:juga|pula)\b",
-    r"^(?:tags?|topik|label|kata kunci)\s*:", r"^(?:#\w+[\s,]*)+$", r"^tentang \S+$", r"^kembali ke (?:depan|atas|beranda)\b",
-    r"^(?:paling (?:banyak )?(?:dibaca|populer)|terpopuler|(?:berita|artikel) (?:terkini|terbaru|terkait|lain(?:nya)?|populer|pilihan)|sorotan redaksi|kanal lain|pilihan (?:editor|redaksi)|rekomendasi\b.{0,30}|jangan lewatkan|terkini)$",
-    # who wrote
-    r"^(?:oleh|penulis|reporter|editor|redaktur|pewarta|kontributor|wartawan|juru foto|fotografer|foto|ilustrasi|infografik|sumber foto|penyunting|laporan)\b(?:\s*[:/(-]|\s+\S+){1,7}$",
-    # rights and duties
-    r"^(?:©|\(c\)|copyright\b)", r"^hak cipta\b.*(?:dilindungi|dilarang|redaksi|\d{4})", r"all rights reserved", r"dilarang (?:menyalin|mengutip|memperbanyak)", r"hak cipta dilindungi",
-    r"tanggung jawab redaksi", r"mengutip wajib", r"tidak mewakili sikap redaksi", r"^naskah ini telah", r"dapat berubah sewaktu-waktu", r"^kantor: ", r"\btelepon [\d-]+$", r"^alamat redaksi\b", r"^selamat datang di\b.*\bkami$",
-    # data and consent
-    r"\b(?:kuki|cookies?)\b.*\b(?:terima|setuju|menyetujui|kelola|accept|manage|tolak|pilihan|nyaman|privasi)\b", r"\b(?:menyetujui|accept|kelola)\b.*\b(?:kuki|cookies?|privasi|persetujuan)\b", r"data (?:kecil di peramban|perangkat)", r"\bterima semua\b", r"\batur pilihan\b",
-    # adverts
-    r"^[\[(*-]*\s*(?:iklan|advertisement|advertorial|sponsor(?:ed)?|ruang (?:promosi|iklan)|promosi|konten bersponsor)\s*[\])*-]*$",
-    # prompts
-    r"^(?:gulir|scroll|geser|swipe) (?:untuk|to)\b", r"^scroll untuk\b", r"^halaman \d+ (?:dari|/) ?\d+", r"^\d+ komentar\b", r"\btulis (?:tanggapan|komentar)\b", r"^(?:berlangganan|langganan)\b.*(?:mulai|rp|sebulan)", r"^daftar buletin\b", r"gratis setiap pagi",
-    r"^masukkan surel\b", r"^klik lonceng\b", r"^(?:pasang|unduh) aplikasi\b", r"^(?:gabung|ikuti)\b.*\b(?:grup|saluran|kanal|kami|pembaca)\b", r"^(?:dengarkan|tonton)\b.*\b(?:siniar|suara|video)\b", r"^(?:bagikan|sebarkan)\b", r"^simpan tautan\b", r"^suka artikel ini\b", r"kirim ke teman", r"^survei pembaca\b", r"^(?:dukung|donasi)\b.*\bkami\b",
-]
-_HEAD_CUES = re.compile("|".join(c[1:] for c in CUES if c[0] == "^"))
-_CUES = re.compile("|".join(c for c in CUES if c[0] != "^"))
-#: One of these is in every line that a cue not tied to the line's beginning matches.
-_CUE_WORDS = ("kuki", "cookie", "»", "rights", "dilarang", "dilindungi", "redaksi", "mengutip", "sewaktu", "telepon", "persetujuan", "privasi", "data ", "terima", "pilihan", "komentar", "tanggapan", "gratis", "teman")
-
-
-_OTHERS = re.compile(CUES[next(i for i, c in enumerate(CUES) if "terpopuler" in c)])
-
-
-def is_cue(s: str) -> bool:
-    """Whether a lower-cased line is worded like what stands around stories."""
-    return bool(_HEAD_CUES.match(s)) or any(w in s for w in _CUE_WORDS) and bool(_CUES.search(s))
-
+# Labels of adverts and calls to scroll on, which stand between a story's paragraphs like subheads.
+_BREAK = re.compile(r"^\W*(?:(?:ruang )?(?:iklan|promosi)|advertisement|advertorial|sponsor(?:ed)?)\W*$|^(?:gulir|geser|scroll|swipe)\b(?:\W+\w+){0,4}\W*$")
+#: Words beyond which a line that ends like a sentence is one, whatever it says.
+LONG_WORDS = 20
 
 _SEPARATOR = re.compile(r"\s*[|·•»>]\s*|\s+/\s+|\s+[-–]\s+")
 _WIDE = re.compile(r"\s{2,}")
@@ -66,7 +37,11 @@ _INNER_ENDING = re.compile(r"[.!?][\"”]?\s+[A-Z\"“]")
 
 #: Shares of all texts from which a menu's segment is a label and a longer line a template, and least counts.
 LABEL_SHARE, LABEL_LEAST, TEMPLATE_SHARE, TEMPLATE_LEAST = 0.0005, 3, 0.003, 8
-LABEL_WORDS, TEMPLATE_WORDS, TEMPLATE_CHARS = 4, 4, 200
+LABEL_WORDS, TEMPLATE_WORDS = 4, 4
+#: The share for lines of fewer words, which stories' own subheads can have in common.
+SHORT_SHARE = 0.01
+#: Spaces of a line between two of which a short one may be a subhead.
+LONG_LINE = 6
 
 
 def canonical(line: str, site: str) -> str:
@@ -96,10 +71,11 @@ def _segments(line: str) -> list[str]:
 
 
 class Knowledge:
-    """What the corpus says: labels of menus and templates of lines. Either has at most lines-a-text / share entries."""
+    """What the corpus says: labels of menus, templates of lines, and those of short ones. Each has at most lines-a-text /
+    share entries."""
 
-    def __init__(self, labels: frozenset[str], templates: frozenset[str]) -> None:
-        self.labels, self.templates = labels, templates
+    def __init__(self, labels: frozenset[str], templates: frozenset[str], shorts: frozenset[str]) -> None:
+        self.labels, self.templates, self.shorts = labels, templates, shorts
 
 
 def learn(articles: DataFrame) -> Knowledge:
@@ -114,11 +90,14 @@ def learn(articles: DataFrame) -> Knowledge:
             held: dict[tuple[str, str], list[int]] = {("texts", ""): [len(b), 0]}
             for source, text in zip(b["source_key"], b["content"]):
                 site, own, longest = _site(source), set(), ""
-                for line in text.split("\n"):
-                    line = line.strip()
+                lines = [x for x in map(str.strip, text.split("\n")) if x and not _BREAK.match(x.lower())]
+                long = [False, *(x.count(" ") >= LONG_LINE for x in lines), False]
+                for at, line in enumerate(lines, 1):
                     if len(line) > len(longest):
                         longest = line
-                    if len(line) > TEMPLATE_CHARS or line.count(" ") < TEMPLATE_WORDS - 1:
+                    if line.count(" ") < TEMPLATE_WORDS - 1:
+                        if not (long[at - 1] and long[at + 1]) and (c := canonical(line, site)):  # else it may be a subhead
+                            own.add(("short", c))
                         continue
                     parts = _parts(line)
                     if len(parts) > 2:
@@ -144,7 +123,7 @@ def learn(articles: DataFrame) -> Knowledge:
     def of(kind: str, least: float, met: int) -> frozenset[str]:
         return frozenset(r.value for r in counted.where((F.col("kind") == kind) & (F.col("n") >= least) & (F.col("met") >= met)).select("value").collect())
 
-    return Knowledge(of("label", max(LABEL_LEAST, LABEL_SHARE * total), 2), of("template", max(TEMPLATE_LEAST, TEMPLATE_SHARE * total), 6))
+    return Knowledge(of("label", max(LABEL_LEAST, LABEL_SHARE * total), 2), of("template", max(TEMPLATE_LEAST, TEMPLATE_SHARE * total), 6), of("short", max(TEMPLATE_LEAST, SHORT_SHARE * total), 6))
 
 
 def density(chars: int, tags: int, link_chars: int, link_tags: int, body_chars: int, body_link_chars: int) -> float:
@@ -162,25 +141,20 @@ LINK, SHORT, PROSE = range(3)
 
 def line_kind(line: str, site: str, title: str, known: Knowledge) -> int:
     """LINK if a line is link text, PROSE if it is sentences or an item of a list, else SHORT (headings and what is unclear)."""
-    if line.count(" ") > CUE_WORDS and line[-1] in _LAST and "  " not in line:
-        return PROSE
     c = canonical(line, site)
-    if not c:
+    if not c or c in known.labels or c in known.templates or c in known.shorts or _BREAK.match(c):
         return LINK
     words = c.count(" ") + 1
-    if words > 2 * CUE_WORDS:
+    if words > LONG_WORDS and line[-1] in _LAST and "  " not in line:
+        return PROSE
+    if words > 2 * LONG_WORDS:
         return PROSE if _ENDING.search(line) or _INNER_ENDING.search(line) else LINK
-    if c in known.labels or c in known.templates:
-        return LINK
     parts = _segments(line)
     if len(parts) > 1:
         names = [canonical(p, site) for p in parts]
         menu = sum(n in known.labels for n in names)
         if menu >= 0.6 * len(names) or _SPACES.sub(" ", c) in known.labels:
             return LINK
-    plain = _SPACES.sub(" ", line.lower()).strip()
-    if words <= CUE_WORDS and (is_cue(plain) or is_cue(plain.strip(" -»…*."))):
-        return LINK
     bullet = _BULLET.match(line)
     if bullet and line[0].isdigit() and words >= 5 and not _ITEM.search(line):
         return LINK  # numbered headlines
@@ -201,7 +175,28 @@ def line_kind(line: str, site: str, title: str, known: Knowledge) -> int:
 
 def _headline(line: str, site: str, known: Knowledge) -> bool:
     c = canonical(line, site)
-    return c.count(" ") >= 4 and c not in known.templates and not is_cue(c) and not _BULLET.match(line) and len(_segments(line)) == 1
+    return c.count(" ") >= 4 and c not in known.templates and not _BULLET.match(line) and len(_segments(line)) == 1
+
+
+#: A line is in the core of the main body if its density is so many times the threshold of its path: the lesser of the
+#: mean densities of the body and of the subtree with the greatest sum.
+CORE = 0.43
+
+
+def _headlines_below(lines: list[tuple[int, str]], kinds: list[int], site: str, known: Knowledge) -> None:
+    """Marks as link text the headlines, though they may end like sentences, that follow a short line all sites have below the story's beginning, up to
+    the next link text, where none of them is long or more than one sentence."""
+    i = next((i for i, k in enumerate(kinds) if k == PROSE), len(lines))
+    while i < len(lines):
+        if kinds[i] == LINK and canonical(lines[i][1], site) in known.shorts:
+            j = i + 1
+            while j < len(lines) and kinds[j] == PROSE and lines[j][1].count(" ") < 17 and not _INNER_ENDING.search(lines[j][1]) and not any(q in lines[j][1] for q in "\"“”:;"):
+                j += 1
+            if j - i > 2 and (j == len(lines) or kinds[j] == LINK):
+                kinds[i + 1 : j] = [LINK] * (j - i - 1)
+            i = j
+        else:
+            i += 1
 
 
 def story_lines(text: str, title: str | None, source: str | None, known: Knowledge) -> tuple[list[int], list[int]]:
@@ -212,23 +207,14 @@ def story_lines(text: str, title: str | None, source: str | None, known: Knowled
     if not lines:
         return [], []
     kinds = [line_kind(x, site, title, known) for _, x in lines]
-    below = False  # a heading over links to other stories, whose headlines may end like sentences
-    for i, (_, x) in enumerate(lines):
-        if kinds[i] == LINK and _OTHERS.match(x.lower().strip(" -»…*.:")):
-            below = True
-        elif kinds[i] == PROSE and below:
-            if x.count(" ") < 17 and not _INNER_ENDING.search(x) and not any(q in x for q in "\"“”:;"):
-                kinds[i] = LINK
-            else:
-                below = False
+    _headlines_below(lines, kinds, site, known)
     # sections: runs of link text, and runs of all else
     tags = [max(1, len(_segments(x))) if k == LINK else 1 for (_, x), k in zip(lines, kinds)]
     chars = [len(x) for _, x in lines]
     links = [c if k == LINK else 0 for c, k in zip(chars, kinds)]
     body, body_links = sum(chars), sum(links)
     dense = [density(c, t, l, t if l else 0, body, body_links) for c, t, l in zip(chars, tags, links)]
-    bar = density(body, sum(tags) + 1, body_links, sum(t for t, l in zip(tags, links) if l), body, body_links)
-    bar = min(bar, sorted(dense)[-1])
+    bar = sum(dense) / len(dense)  # of the body, by its density sum over its lines
     sections: list[list[int]] = []
     for i, k in enumerate(kinds):
         if sections and (kinds[sections[-1][-1]] == LINK) == (k == LINK):
@@ -245,10 +231,11 @@ def story_lines(text: str, title: str | None, source: str | None, known: Knowled
         if run > best:
             best, best_run = run, (run_from, s)
     inside = [i for s in range(best_run[0], best_run[1] + 1) for i in sections[s]]
-    prose = [i for i in inside if kinds[i] == PROSE]
+    bar = min(bar, sum(dense[i] for i in inside) / max(1, len(inside)))
+    core = [i for i in inside if kinds[i] != LINK and dense[i] >= CORE * bar]
     story: set[int] = set()
-    if prose:
-        first, last = prose[0], prose[-1]
+    if core:
+        first, last = core[0], core[-1]
         story = {i for i in inside if kinds[i] != LINK and first <= i <= last}
         if title:  # the page's own headline, at the top
             own = canonical(title, site)

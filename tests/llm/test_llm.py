@@ -111,6 +111,18 @@ def test_main_body(spark):
     assert {r.article_id for r in found} == set(range(12))
 
 
+def test_density_decides_the_extent_of_the_story():
+    known = boilerplate.Knowledge(frozenset(), frozenset(), frozenset())
+    page = "\n".join(["Editor Kana", *STORY[:2], "Latar belakang", *STORY[3:], "Editor Kana"])
+    assert boilerplate.story_lines(page, None, None, known)[1] == [1, 8]
+    plain = boilerplate.density
+    try:
+        boilerplate.density = lambda *_: 1.0
+        assert boilerplate.story_lines(page, None, None, known)[1] != [1, 8]
+    finally:
+        boilerplate.density = plain
+
+
 # problem 4
 
 
