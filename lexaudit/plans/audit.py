@@ -263,10 +263,9 @@ def pipeline_nonprofit(spark, d):
     return _pipeline(spark, d, domains.NONPROFIT)
 
 
-@query("mime_filter", "SELECT count(*) AS n FROM (SELECT CASE WHEN article_id % 4 = 0 THEN 'application/pdf' WHEN article_id % 4 = 1 THEN 'application/xhtml+xml' WHEN article_id % 4 = 2 THEN 'text/html' END AS ct FROM articles) WHERE NOT (contains(lower(COALESCE(ct, '')), 'application/') AND NOT contains(lower(COALESCE(ct, '')), 'xhtml'))")
+@query("mime_filter", "SELECT count(*) AS n FROM (SELECT metadata['content_type'] AS ct FROM articles) WHERE NOT (contains(lower(COALESCE(ct, '')), 'application/') AND NOT contains(lower(COALESCE(ct, '')), 'xhtml'))")
 def mime_filter(spark, d):
-    k = F.col("article_id") % 4
-    ct = F.when(k == 0, "application/pdf").when(k == 1, "application/xhtml+xml").when(k == 2, "text/html")
+    ct = F.try_element_at("metadata", F.lit("content_type"))
     return table(spark, d, "articles").where(urls.is_text_type(ct)).agg(F.count("*").alias("n"))
 
 
@@ -388,12 +387,21 @@ def auto_flag(spark, d):
     return table(spark, d, "documents").select("doc_id", text.flags(F.lower("text"), L.FLAGS, "konten_umum").alias("flags"))
 
 
-@query("post_date_fallback")
+_M = {n: i for i, (a, b) in enumerate(dates.MONTHS.items(), 1) for n in (a, b.lower())}
+_NAMES, _NUMBER = "|".join(sorted(_M)), "CASE {} " + " ".join(f"WHEN '{n}' THEN '{i:02d}'" for n, i in sorted(_M.items())) + " END"
+S_DATED = lambda p, m, d: f"CASE WHEN regexp_matches(lower(text), '{p}') THEN regexp_extract(lower(text), '{p}', 3) || '-' || {_NUMBER.format(f"regexp_extract(lower(text), '{p}', {m})")} || '-' || lpad(regexp_extract(lower(text), '{p}', {d}), 2, '0') END"
+S_POST = f"SELECT doc_id, COALESCE({S_DATED(f'({_NAMES}) (' + chr(92) + 'd{1,2}), (' + chr(92) + 'd{4})', 1, 2)}, {S_DATED('(' + chr(92) + 'd{1,2}) (' + _NAMES + ') (' + chr(92) + 'd{4})', 2, 1)}, 'Tanggal Tidak Tersedia') AS day FROM documents"
+
+
+@query("post_date_fallback", S_POST)
 def post_date_fallback(spark, d):
     return table(spark, d, "documents").select("doc_id", dates.post_date(F.col("text")).alias("day"))
 
 
-@query("smart_truncate")
+S_TRUNC = "CASE WHEN length(text) <= 1500 THEN text WHEN pos > 0 THEN substr(text, 1, 800) || chr(10) || chr(10) || '...' || chr(10) || chr(10) || substr(text, 801 + greatest(0, pos - 351), least(length(text) - 800, pos + 349) - greatest(0, pos - 351)) ELSE substr(text, 1, 1500) END"
+
+
+@query("smart_truncate", f"SELECT doc_id, md5({S_TRUNC}) AS h FROM (SELECT *, instr(substr(lower(text), 801), 'bandung') AS pos FROM documents)")
 def smart_truncate(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(text.truncate_around(F.col("text"), "bandung")).alias("h"))
 
@@ -418,12 +426,12 @@ def boilerplate_clean(spark, d):
     return table(spark, d, "articles").select("article_id", F.md5(text.clean(F.col("content"))).alias("h"))
 
 
-@query("ad_line_clean")
+@query("ad_line_clean", f"SELECT article_id, md5(trim(regexp_replace(regexp_replace(content, '(?i){text.AD_LINES}[^' || chr(10) || ']*' || chr(10), chr(10), 'g'), chr(10) || '+', chr(10), 'g'), ' ' || chr(10) || chr(9) || chr(13))) AS h FROM articles")
 def ad_line_clean(spark, d):
     return table(spark, d, "articles").select("article_id", F.md5(text.clean_lines(F.col("content"))).alias("h"))
 
 
-@query("ocr_clean")
+@query("ocr_clean", f"SELECT doc_id, md5({S_COLLAPSE("replace(translate(text, '" + chr(92) + "/*_[]{}|~^`', ''), 'Bartai', 'Partai')")}) AS h FROM documents WHERE kind = 'ocr'")
 def ocr_clean(spark, d):
     return table(spark, d, "documents").where("kind = 'ocr'").select("doc_id", F.md5(text.clean_ocr(F.col("text"))).alias("h"))
 
@@ -539,7 +547,11 @@ MARKETS = ["usa", "america", "united states", "europe", "japan", "china", "korea
 CAPACITY = r"(?:\b\d+\s*(?:tons|teu|containers|cartons|pallets|rolls)\b|capacity\s*of\s*\d+)"
 
 
-@query("market_claims")
+S_MARKETS = "COALESCE(NULLIF(array_to_string(list_sort(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(lower(text), '{chr(92)}b{m}{chr(92)}b') THEN '{m.title()}' END" for m in MARKETS) + "], lambda x: x IS NOT NULL)), ', '), ''), 'TIDAK ADA KLAIM PASAR')"
+S_CAPACITY = f"COALESCE(NULLIF(array_to_string(list_sort(list_distinct(regexp_extract_all(lower(text), {SQ(CAPACITY)}))), ', '), ''), 'TIDAK ADA METRIK')"
+
+
+@query("market_claims", f"SELECT doc_id, lang, markets, capacity, CASE WHEN lang = 'en' AND markets = 'TIDAK ADA KLAIM PASAR' THEN 'under-reported' ELSE 'SEJALAN' END AS flag FROM (SELECT doc_id, lang, {S_MARKETS} AS markets, {S_CAPACITY} AS capacity FROM documents WHERE kind = 'manifest')")
 def market_claims(spark, d):
     t = F.lower("text")
     found = F.filter(F.array(*[F.when(t.rlike(rf"\b{m}\b"), F.initcap(F.lit(m))) for m in MARKETS]), lambda x: x.isNotNull())

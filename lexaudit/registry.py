@@ -30,4 +30,4 @@ def load_all() -> None:
         importlib.import_module(name)
 
 
-MODULES = ["lexaudit.plans.general", "lexaudit.plans.audit"]
+MODULES = ["lexaudit.plans.general", "lexaudit.plans.audit", "lexaudit.plans.more"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -53,10 +54,27 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
 
 
+#: Folders that queries of this process have written, to be deleted when it ends.
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def _clean_up() -> None:
+    """Deletes what materialize() wrote: results may be read until the process ends, then nobody can."""
+    for spark, path in _WRITTEN:
+        try:
+            remove_path(spark, path)
+        except Exception:  # noqa: BLE001  the gateway may be gone; the rest of the shutdown goes on
+            return
+
+
+atexit.register(_clean_up)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage is cut and the rows survive lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, label)
+    _WRITTEN.append((spark, path))  # also of a write that fails
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

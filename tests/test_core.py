@@ -7,8 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lexaudit import lexicon
-from lexaudit.functions import dates, htmlx, jsonx, text, urls
+from lexaudit import domains, lexicon
+from lexaudit.functions import dates, htmltree, htmlx, jsonx, text, urls
 from lexaudit.operators import dedup, fuzzy, rules, scoring, spans, timestamps, verdict
 from lexaudit.sources import files
 
@@ -78,6 +78,63 @@ def test_lexicon(spark):
     assert one(spark, "harga kopi", lambda c: lexicon.any_of(c, "own"))
 
 
+@pytest.mark.parametrize(("t", "host", "n"), [
+    # anchor 40, one topic 20, elsewhere beside an anchor -15, anchor and topic 10
+    ("kota bandung dan jakarta: phk massal", "", 55),
+    # the word alone 20, one topic 20, elsewhere -60
+    ("berita bandung dan jakarta: phk massal", "", 0),
+    # district 30, three topics 40, host 10
+    ("coblong: phk, pesangon, upah minimum", "www.kompas.com", 80),
+    # whole words only: neither a place nor a topic
+    ("coblongan phknya bandungan", "", 0),
+    # landmark 35, noise beside fewer than two topics -25
+    ("gasibu ramai, piala dunia", "", 10),
+])
+def test_tiered_score_by_hand(spark, t, host, n):
+    d = spark.createDataFrame([(t, host)], "t string, h string")
+    assert d.select(scoring.tiered(F.col("t"), F.col("h")).alias("y")).collect()[0].y == n
+
+
+def test_domain_rules_by_hand(spark):
+    c = domains.Columns()
+    rows = [
+        ("harga beras naik, stok kota bandung aman", "u"), ("harga beras dan stok di subang", "u"), ("mahasiswa menanam padi", "u"), ("ekspor kopi kota bandung dan mahasiswa", "u"), ("Jadwal salat".lower(), "u"),
+        ("yayasan di kota bandung dan mahasiswa", "u"), ("laporan", "https://a.example/x.pdf?y=1"), ("warga andir", "u"),
+    ]
+    d = spark.createDataFrame(rows, "t string, u string")
+    t, u = F.col("t"), F.col("u")
+    found = d.select(domains.preflight(domains.TRADE, t, u, F.concat_ws(" ", t, u), c).alias("p"), domains.preflight(domains.NONPROFIT, t, u, F.concat_ws(" ", t, u), c).alias("q"), domains.lexical(domains.TRADE, t, c).alias("x"), domains.lexical(domains.NONPROFIT, t, c).alias("y"))
+    assert [tuple(r) for r in found.collect()] == [
+        ("pass", "pass", "topic", "poor"), ("elsewhere", "elsewhere", "no place", "elsewhere"), ("noise", "noise", "no place", "noise"), ("pass", "noise", "topic", "noise"), ("no news", "no news", "no place", "no place"),
+        ("noise", "pass", "noise", "topic"), ("document", "document", "no place", "no place"), ("pass", "pass", "poor", "poor"),
+    ]
+    assert {n: len(lexicon.SETS[n]) for n in ("work_elsewhere", "work_noise", "trade_elsewhere", "trade_noise", "trade_districts")} == {"work_elsewhere": 33, "work_noise": 40, "trade_elsewhere": 81, "trade_noise": 81, "trade_districts": 34}
+
+
+def test_selector_chains():
+    page = '<html><head><title>T</title><meta property="og:title" content=" Judul "></head><body><h1> Kepala <b>berita</b></h1><div class="x post-content"><p>Satu</p><a href="#">tautan</a><p>dua <i>tiga</i></p><script>x</script></div><div id="d"></div></body></html>'
+    assert htmltree.first_match(page, ['meta[property="og:title"]', "title"]) == "Judul"
+    assert htmltree.first_match(page, ["h2", "h1"]) == "Kepalaberita"
+    assert htmltree.first_match(page, ["div#d", "title"]) == ""  # an empty fit ends the search
+    assert htmltree.first_match(page, ["p:first", "div.post-content p"]) == "Satu"
+    assert htmltree.first_match(page, ["div.x a"], "href") == "#"
+    assert htmltree.layered(page) == ("Kepala" + "berita", "Satu dua tiga")
+    assert htmltree.layered("") == ("Tanpa Judul", "") and htmltree.first_match("", ["p"]) == ""
+    deep = "<div>" * 5000 + "x"
+    assert htmltree.first_match(deep, ["div"]) == "x"
+
+
+def test_verdicts_in_batches(spark):
+    def model(texts):
+        if any("rusak" in t for t in texts):
+            raise ValueError("no answer")
+        return [t.upper() if t != "diam" else None for t in texts]
+
+    d = spark.createDataFrame([(1, "a"), (2, "rusak"), (3, None), (4, ""), (5, "diam"), (6, "b")], "id bigint, t string")
+    got = {r.id: r.verdict for r in verdict.in_batches(d, "id", "t", model, size=3).collect()}
+    assert got == {1: "A", 2: "Unknown", 3: "Unknown", 4: "Unknown", 5: "Unknown", 6: "B"}
+
+
 def test_urls(spark):
     assert one(spark, "https://A.b/x?c=1&d=&page=2", lambda c: urls.all_pages(c, ["a.b"])) == "https://A.b/x?c=1&page=all"
     assert one(spark, "https://a.b/x/page/3", urls.first_page) == "https://a.b/x?page=all"
