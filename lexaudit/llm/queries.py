@@ -101,13 +101,27 @@ def p5_blocks(spark, sf_dir):
     return repeats.block_report(table(spark, sf_dir, "articles"))
 
 
-@query("p5_clean")
+@query("p5_clean", LINES_SQL + """, g AS (SELECT k.article_id, k.line_no FROM k JOIN f ON k.s = f.s AND k.key = f.key),
+     o AS (SELECT article_id, string_split(content, chr(10)) AS ls FROM articles WHERE content IS NOT NULL),
+     u AS (SELECT article_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM o),
+     r AS (SELECT u.article_id, string_agg(line, chr(10) ORDER BY u.line_no) FILTER (WHERE g.line_no IS NULL) AS t FROM u LEFT JOIN g ON u.article_id = g.article_id AND u.line_no = g.line_no GROUP BY u.article_id)
+SELECT a.article_id, CASE WHEN a.content IS NOT NULL THEN md5(COALESCE(r.t, '')) END AS content_md5 FROM articles a LEFT JOIN r ON a.article_id = r.article_id""")
 def p5_clean(spark, sf_dir):
     articles = table(spark, sf_dir, "articles")
     return repeats.without_lines(articles, repeats.repeated_lines(articles)).select("article_id", F.md5("content").alias("content_md5"))
 
 
-@query("p7_found")
+PAIRS_SQL = r"""
+WITH b AS (SELECT article_id, regexp_extract_all(lower(COALESCE(title, '')), '[\p{L}\p{N}]+') AS t, regexp_extract_all(lower(content), '[\p{L}\p{N}]+') AS c FROM articles WHERE content IS NOT NULL),
+     w AS (SELECT article_id, list_concat(t, c) AS ws FROM b WHERE len(c) >= 60),
+     g AS (SELECT article_id, hash(ws[i], ws[i + 1], ws[i + 2]) AS h FROM (SELECT article_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w) GROUP BY ALL),
+     n AS (SELECT article_id, count(*) AS n FROM g GROUP BY article_id),
+     p AS (SELECT x.article_id AS a, y.article_id AS b, count(*) AS c FROM g x JOIN g y ON x.h = y.h AND x.article_id < y.article_id GROUP BY 1, 2)
+SELECT a AS article_a, b AS article_b FROM p JOIN n m ON m.article_id = a JOIN n o ON o.article_id = b WHERE 2 * c >= m.n + o.n - c
+"""
+
+
+@query("p7_found", PAIRS_SQL)
 def p7_found(spark, sf_dir):
     return nearcopies.similar_pairs(table(spark, sf_dir, "articles"))
 
