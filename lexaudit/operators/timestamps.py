@@ -122,7 +122,7 @@ def estimate_zones(values: DataFrame, candidates: list[str], slack_s: int = 300)
     values: source_key, ts_local, and the evidence: ingested (seconds UTC by which the record existed) and stated
     (seconds UTC that another record of the same item names with an offset), either NULL where unknown. A violation is
     an instant later than ingested, or more than slack_s away from stated, or a wall time the candidate skips. On a tie
-    the candidate listed first wins. Counts are partial-aggregated per source and candidate before the shuffle.
+    the candidate listed first wins; where all of several candidates tie, nothing speaks for any, and zone is NULL. Counts are partial-aggregated per source and candidate before the shuffle.
     """
     if not candidates:
         raise ValueError("no candidate zones")
@@ -133,8 +133,8 @@ def estimate_zones(values: DataFrame, candidates: list[str], slack_s: int = 300)
     counts = tried.groupBy("source_key", "zone", "rank").agg(F.sum(bad.cast("bigint")).alias("violations"), F.count("*").alias("n_values"))
     return (
         counts.groupBy("source_key")
-        .agg(F.min_by(F.struct("zone", "violations", "n_values"), F.struct("violations", "rank")).alias("b"))
-        .select("source_key", "b.zone", "b.violations", "b.n_values")
+        .agg(F.min_by(F.struct("zone", "violations", "n_values"), F.struct("violations", "rank")).alias("b"), F.max("violations").alias("_most"))
+        .select("source_key", F.when((F.col("_most") > F.col("b.violations")) | F.lit(len(candidates) == 1), F.col("b.zone")).alias("zone"), "b.violations", "b.n_values")
     )
 
 

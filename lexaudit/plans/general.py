@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lexaudit.operators import timestamps
 from lexaudit.registry import query
 from lexaudit.session import table
@@ -15,6 +17,13 @@ def p6_found(spark, sf_dir):
     return timestamps.normalized_records(table(spark, sf_dir, "articles"), table(spark, sf_dir, "scored_articles"), table(spark, sf_dir, "sources"), CANDIDATE_ZONES)
 
 
+@query("p6_undeclared")
+def p6_undeclared(spark, sf_dir):
+    """p6_found as if no source declared its zone: every one is estimated from the offset history of its records."""
+    sources = table(spark, sf_dir, "sources").withColumn("tz_name", F.lit(None).cast("string"))
+    return timestamps.normalized_records(table(spark, sf_dir, "articles"), table(spark, sf_dir, "scored_articles"), sources, CANDIDATE_ZONES)
+
+
 @query("p6_zones")
 def p6_zones(spark, sf_dir):
     records = timestamps.dated_records(table(spark, sf_dir, "articles"), table(spark, sf_dir, "scored_articles"))

@@ -39,10 +39,10 @@ def test_timestamps(spark):
 
 
 def test_zone_estimate(spark):
-    rows = [("s", 1_700_000_000 + 7 * 3600 + i * 86400, None, 1_700_000_000 + i * 86400) for i in range(20)] + [("t", 1_700_000_000 + 9 * 3600, 1_700_000_100, None), (None, 1, 1, 1)]
+    rows = [("s", 1_700_000_000 + 7 * 3600 + i * 86400, None, 1_700_000_000 + i * 86400) for i in range(20)] + [("t", 1_700_000_000 + 9 * 3600, 1_700_000_100, None), (None, 1, 1, 1), ("u", 1_700_000_000, None, None)]
     v = spark.createDataFrame(rows, "source_key string, ts_local bigint, ingested bigint, stated bigint")
     z = {r.source_key: (r.zone, r.violations) for r in timestamps.estimate_zones(v, ["UTC", "Asia/Jakarta", "Asia/Jayapura"]).collect()}
-    assert z == {"s": ("Asia/Jakarta", 0), "t": ("Asia/Jayapura", 0)}
+    assert z == {"s": ("Asia/Jakarta", 0), "t": ("Asia/Jayapura", 0), "u": (None, 0)}  # u has no evidence
 
 
 # text
