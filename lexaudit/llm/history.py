@@ -3,7 +3,8 @@
 An address is reduced to the tokens that decide which story it leads to. An inverted index holds, for every distinct
 token set accepted so far, the rare-token prefix that any similar set must share, in a table bucketed by token that
 only ever grows. A batch probes the index with its own prefixes, filters by length, verifies the overlap and appends
-the postings of what is new; the history itself is neither read nor shuffled again.
+the postings of what is new. The history's texts aren't read or made into tokens again; of its postings, each batch scans
+the buckets, and shuffles none of them as long as the plan joins by bucket.
 """
 
 from __future__ import annotations

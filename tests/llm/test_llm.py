@@ -244,6 +244,28 @@ def test_versions_of_a_story_that_are_each_copied(spark):
     assert got == want and len(want) > 300
 
 
+def test_long_lists_and_whole_sets(spark):
+    rnd = random.Random(13)
+    vocabulary, stock = [f"kata{i}" for i in range(3000)], [f"baku{i}" for i in range(60)]
+    rows, n = [], 0
+    for _ in range(40):
+        base = [rnd.choice(vocabulary) for _ in range(90)]
+        for _ in range(2):
+            w = stock + base
+            for _ in range(rnd.choice([1, 4])):
+                w[rnd.randrange(60, len(w))] = rnd.choice(vocabulary)
+            n += 1
+            rows.append({"id": n, "content": " ".join(w)})
+    a = articles(spark, rows)
+    made = nearcopies.signatures(a).cache()
+    pairs = lambda d: {tuple(r) for r in d.collect()}
+    found = pairs(nearcopies.candidates(made, 0.5))
+    assert pairs(nearcopies.candidates(made, 0.5, long=20)) == found and len(found) >= 40
+    exact = {(r.a, r.b) for r in nearcopies.similar_classes(a, k=None)[1].collect()}
+    assert {(r.a, r.b) for r in nearcopies.similar_classes(a)[1].collect()} == exact and len(exact) == 40
+    assert nearcopies.similar_pairs(a.where("article_id < 0")).count() == 0
+
+
 # problem 8
 
 
