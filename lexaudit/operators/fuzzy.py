@@ -7,16 +7,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def common_length(a: str, b: str) -> int:
+    """The length of the longest common subsequence, a whole row of its table at a time as the bits of a number."""
+    places: dict[str, int] = {}
+    for k, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << k
+    every = (1 << len(a)) - 1
+    row = every
+    for y in b:
+        hit = row & places.get(y, 0)
+        row = (row + hit | row - hit) & every
+    return len(a) - row.bit_count()
+
+
 def _ratio(a: str, b: str) -> float:
     """200 times the longest common subsequence over both lengths."""
-    if not a and not b:
-        return 100.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-    return 200.0 * row[-1] / (len(a) + len(b))
+    return 200.0 * common_length(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
 def token_set_ratio(a: str, b: str) -> float:

@@ -537,7 +537,7 @@ def commodity_validation(spark, d):
 @query("fuzzy_best_match")
 def fuzzy_best_match(spark, d):
     left = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    right = table(spark, d, "sources").select(F.monotonically_increasing_id().alias("id"), "site_name").select("id", F.col("site_name").alias("name"))
+    right = table(spark, d, "sources").select(F.crc32(F.col("source").cast("binary")).alias("id"), F.col("site_name").alias("name"))
     names = table(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
     return fuzzy.best_matches(names.unionByName(right.withColumn("id", F.col("id") + 1000)), left.unionByName(names), 70.0)
 

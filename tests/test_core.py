@@ -212,6 +212,17 @@ def test_dedup(spark):
     assert rules.tally(d, rules.first_reason([(F.col("a") == "u2", "x")], "y")).where("reason = 'x'").collect()[0].n == 2
 
 
+def test_common_length_against_the_table():
+    rnd = random.Random(1)
+    for _ in range(200):
+        a, b = ("".join(rnd.choice("abcd ") for _ in range(rnd.randrange(0, 80))) for _ in range(2))
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a, 1):
+            for j, y in enumerate(b, 1):
+                t[i][j] = t[i - 1][j - 1] + 1 if x == y else max(t[i - 1][j], t[i][j - 1])
+        assert fuzzy.common_length(a, b) == t[-1][-1]
+
+
 def test_fuzzy(spark):
     left = spark.createDataFrame([(1, "PT Maju Jaya"), (2, "zzz"), (3, None)], "id bigint, name string")
     right = spark.createDataFrame([(9, "maju jaya pt"), (8, "PT Maju"), (7, "CV Lain")], "id bigint, name string")
