@@ -68,13 +68,14 @@ def pack(sizes: DataFrame, capacity: int, seed: int = 7, group_items: int = GROU
     number in the group. Rows with equal ids are separate items. Nothing is dropped.
     """
     sizes = materialize(sizes, "sizes")
-    n = sizes.count()
+    many = F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / capacity).cast("int"))
+    n = sizes.agg(F.coalesce(F.sum(many), F.lit(0))).first()[0]
     groups = max(1, -(-n // group_items))
-    parts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n_tokens") / capacity).cast("int") - 1))
+    parts = F.sequence(F.lit(0), many - 1)
     items = (
         sizes.select("id", "n_tokens", F.explode(parts).alias("part_no"))
         .withColumn("part_tokens", F.least(F.lit(capacity), F.col("n_tokens") - F.col("part_no").cast("bigint") * capacity))
-        .withColumn("grp", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(groups)).cast("int"))
+        .withColumn("grp", F.pmod(F.xxhash64("id", "part_no", F.lit(seed)), F.lit(groups)).cast("int"))
         .drop("n_tokens")
     )
     ident = sizes.schema["id"].dataType.simpleString()
