@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,13 +71,30 @@ def _segments(line: str) -> list[str]:
     return parts if len(parts) > 1 or "  " not in line and "\t" not in line else [p for p in _WIDE.split(line) if p.strip()]
 
 
+def _key(text: str) -> int:
+    """A text as the corpus counts it: a hash that is the same in every process."""
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
 class Knowledge:
-    """What the corpus says: labels of menus, templates of lines, and those of short ones. Each has at most lines-a-text /
-    share entries."""
+    """What the corpus says, as hashes: labels of menus, templates of lines (long sentences as they stand, others in canonical
+    form), and those of short lines. Each has at most lines-a-text / share entries."""
 
-    def __init__(self, labels: frozenset[str], templates: frozenset[str], shorts: frozenset[str]) -> None:
+    def __init__(self, labels: frozenset[int], templates: frozenset[int], shorts: frozenset[int]) -> None:
         self.labels, self.templates, self.shorts = labels, templates, shorts
 
+    def label(self, text: str) -> bool:
+        return _key(text) in self.labels
+
+    def shared(self, text: str) -> bool:
+        k = _key(text)
+        return k in self.labels or k in self.templates or k in self.shorts
+
+
+def _long(line: str) -> bool:
+    """Whether a line is long and ends like a sentence."""
+    return line[-1] in _LAST and line.count(" ") >= LONG_WORDS and "  " not in line
+
 
 def learn(articles: DataFrame) -> Knowledge:
     """Counts, over all texts, in how many of them each menu segment and each longer line stands.
@@ -87,7 +105,7 @@ def learn(articles: DataFrame) -> Knowledge:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            held: dict[tuple[str, str], list[int]] = {("texts", ""): [len(b), 0]}
+            held: dict[tuple[str, int], list[int]] = {("texts", 0): [len(b), 0]}
             for source, text in zip(b["source_key"], b["content"]):
                 site, own, longest = _site(source), set(), ""
                 lines = [x for x in map(str.strip, text.split("\n")) if x and not _BREAK.match(x.lower())]
@@ -95,16 +113,19 @@ def learn(articles: DataFrame) -> Knowledge:
                 for at, line in enumerate(lines, 1):
                     if len(line) > len(longest):
                         longest = line
+                    if _long(line):
+                        own.add(("template", _key(line)))
+                        continue
+                    c = canonical(line, site)
                     if line.count(" ") < TEMPLATE_WORDS - 1:
-                        if not (long[at - 1] and long[at + 1]) and (c := canonical(line, site)):  # else it may be a subhead
-                            own.add(("short", c))
+                        if c and not (long[at - 1] and long[at + 1]):  # else it may be a subhead
+                            own.add(("short", _key(c)))
                         continue
                     parts = _parts(line)
                     if len(parts) > 2:
-                        own.update(("label", c) for c in (canonical(p, site) for p in parts) if c and c.count(" ") < LABEL_WORDS)
-                    c = canonical(line, site)
+                        own.update(("label", _key(x)) for x in (canonical(p, site) for p in parts) if x and x.count(" ") < LABEL_WORDS)
                     if c.count(" ") >= TEMPLATE_WORDS - 1:
-                        own.add(("template", c))
+                        own.add(("template", _key(c)))
                 bit = 1 << zlib.crc32(longest.encode()) % 63
                 for k in own:
                     x = held.get(k)
@@ -116,11 +137,11 @@ def learn(articles: DataFrame) -> Knowledge:
             yield pd.DataFrame([(k, v, n, m) for (k, v), (n, m) in held.items()], columns=["kind", "value", "n", "mask"])
 
     texts = articles.select(source_key("source").alias("source_key"), "content").where("content IS NOT NULL AND content <> ''")
-    counted = texts.mapInPandas(count, "kind string, value string, n bigint, mask bigint").groupBy("kind", "value").agg(F.sum("n").alias("n"), F.bit_count(F.bit_or("mask")).alias("met"))
+    counted = texts.mapInPandas(count, "kind string, value bigint, n bigint, mask bigint").groupBy("kind", "value").agg(F.sum("n").alias("n"), F.bit_count(F.bit_or("mask")).alias("met"))
     counted = materialize(counted.where("n >= 3 OR kind = 'texts'"), "lines")
     total = sum(r.n for r in counted.where("kind = 'texts'").collect())
 
-    def of(kind: str, least: float, met: int) -> frozenset[str]:
+    def of(kind: str, least: float, met: int) -> frozenset[int]:
         return frozenset(r.value for r in counted.where((F.col("kind") == kind) & (F.col("n") >= least) & (F.col("met") >= met)).select("value").collect())
 
     return Knowledge(of("label", max(LABEL_LEAST, LABEL_SHARE * total), 2), of("template", max(TEMPLATE_LEAST, TEMPLATE_SHARE * total), 6), of("short", max(TEMPLATE_LEAST, SHORT_SHARE * total), 6))
@@ -141,19 +162,19 @@ LINK, SHORT, PROSE = range(3)
 
 def line_kind(line: str, site: str, title: str, known: Knowledge) -> int:
     """LINK if a line is link text, PROSE if it is sentences or an item of a list, else SHORT (headings and what is unclear)."""
+    if _long(line):
+        return LINK if _key(line) in known.templates else PROSE
     c = canonical(line, site)
-    if not c or c in known.labels or c in known.templates or c in known.shorts or _BREAK.match(c):
+    if not c or known.shared(c) or _BREAK.match(c):
         return LINK
     words = c.count(" ") + 1
-    if words > LONG_WORDS and line[-1] in _LAST and "  " not in line:
-        return PROSE
     if words > 2 * LONG_WORDS:
         return PROSE if _ENDING.search(line) or _INNER_ENDING.search(line) else LINK
     parts = _segments(line)
     if len(parts) > 1:
         names = [canonical(p, site) for p in parts]
-        menu = sum(n in known.labels for n in names)
-        if menu >= 0.6 * len(names) or _SPACES.sub(" ", c) in known.labels:
+        menu = sum(map(known.label, names))
+        if menu >= 0.6 * len(names) or known.label(_SPACES.sub(" ", c)):
             return LINK
     bullet = _BULLET.match(line)
     if bullet and line[0].isdigit() and words >= 5 and not _ITEM.search(line):
@@ -175,7 +196,7 @@ def line_kind(line: str, site: str, title: str, known: Knowledge) -> int:
 
 def _headline(line: str, site: str, known: Knowledge) -> bool:
     c = canonical(line, site)
-    return c.count(" ") >= 4 and c not in known.templates and not _BULLET.match(line) and len(_segments(line)) == 1
+    return c.count(" ") >= 4 and _key(c) not in known.templates and not _BULLET.match(line) and len(_segments(line)) == 1
 
 
 #: A line is in the core of the main body if its density is so many times the threshold of its path: the lesser of the
@@ -188,7 +209,7 @@ def _headlines_below(lines: list[tuple[int, str]], kinds: list[int], site: str,
     the next link text, where none of them is long or more than one sentence."""
     i = next((i for i, k in enumerate(kinds) if k == PROSE), len(lines))
     while i < len(lines):
-        if kinds[i] == LINK and canonical(lines[i][1], site) in known.shorts:
+        if kinds[i] == LINK and _key(canonical(lines[i][1], site)) in known.shorts:
             j = i + 1
             while j < len(lines) and kinds[j] == PROSE and lines[j][1].count(" ") < 17 and not _INNER_ENDING.search(lines[j][1]) and not any(q in lines[j][1] for q in "\"“”:;"):
                 j += 1
