@@ -413,7 +413,7 @@ def densest_paragraphs(spark, d):
         place = F.when(L.any_of(t, "labour_anchors", whole_words=True), 40).when(L.any_of(t, "labour_districts", whole_words=True), 30).when(t.rlike(scoring.PLACE), 15).otherwise(0)
         return place + 15 * L.hit_count(t, *LAB, whole_words=True) + F.when(i < 3, 10).otherwise(0)
 
-    return table(spark, d, "articles").select("article_id", F.length(text.densest_paragraphs(F.col("content"), score)).alias("n"))
+    return table(spark, d, "articles").select("article_id", F.md5(text.densest_paragraphs(F.col("content"), score)).alias("h"))
 
 
 @query("summary_extract")
