@@ -415,12 +415,12 @@ def similar_classes(articles: DataFrame, threshold: float = 0.5, words: int = 3,
     return members, pairs.where(F.col("jaccard") >= threshold)
 
 
-def similar_pairs(articles: DataFrame, threshold: float = 0.5, words: int = 3, least_words: int = 60) -> DataFrame:
-    """Every pair article_a < article_b with a similarity of at least the threshold, copies expanded.
+def similar_pairs(articles: DataFrame, threshold: float = 0.5, words: int = 3, least_words: int = 60, k: int | None = K) -> DataFrame:
+    """Every pair article_a < article_b with a similarity of at least the threshold, copies expanded; see candidates() for k.
 
     Ids must be unique; of rows with equal ids one counts.
     """
-    members, pairs = similar_classes(articles, threshold, words, least_words)
+    members, pairs = similar_classes(articles, threshold, words, least_words, k)
     pairs = materialize(pairs, "pairs")
     m, o = members.select(F.col("rep").alias("a"), F.col("id").alias("p")), members.select(F.col("rep").alias("b"), F.col("id").alias("q"))
     across = pairs.select("a", "b").join(m, "a").join(o, "b").select("p", "q")
@@ -428,14 +428,14 @@ def similar_pairs(articles: DataFrame, threshold: float = 0.5, words: int = 3, l
     return across.unionByName(within).select(F.least("p", "q").alias("article_a"), F.greatest("p", "q").alias("article_b")).where("article_a < article_b").distinct()
 
 
-def similar_groups(articles: DataFrame, threshold: float = 0.5, words: int = 3, least_words: int = 60) -> DataFrame:
+def similar_groups(articles: DataFrame, threshold: float = 0.5, words: int = 3, least_words: int = 60, k: int | None = K) -> DataFrame:
     """article_id, class_id (the least id of its group), links (of its text to different texts), for every article in a
     group of two or more.
 
     Groups are the connected components of equal and similar texts: each round, a text takes the least label of its
     neighbours and then the label of its label, until nothing changes. Rounds are written to the shared folder.
     """
-    members, pairs = similar_classes(articles, threshold, words, least_words)
+    members, pairs = similar_classes(articles, threshold, words, least_words, k)
     pairs = materialize(pairs.select("a", "b"), "pairs")
     edges = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"), F.count("*").alias("links"))

@@ -49,6 +49,12 @@ def p2_found(spark, sf_dir):
     return history.repeated_addresses(table(spark, sf_dir, "articles"), table(spark, sf_dir, "visited_urls"))
 
 
+@query("p2_similar")
+def p2_similar(spark, sf_dir):
+    """Rows whose address shares six tenths of its tokens, of all that either has, with one accepted before: near duplicates."""
+    return history.repeated_addresses(table(spark, sf_dir, "articles"), table(spark, sf_dir, "visited_urls"), 0.6)
+
+
 @query("p8_containers")
 def p8_containers(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
